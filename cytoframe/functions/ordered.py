@@ -181,9 +181,13 @@ def benjamini_hochberg(
     out: str = "padj",
     splits: int | None = None,
     small_group: int | None = None,
+    n_tests: Column | None = None,
 ) -> DataFrame:
     """Step-up adjusted p-values; NULL p stays NULL and is not counted.
 
+    ``n_tests`` overrides the number of tests when untested members (p = 1) are implied
+    rather than stored.
+
     Tied p-values share the largest of their ranks, so the step-up runs over distinct
     values with counts and ties collapse before any shuffle.
     """
@@ -193,7 +197,9 @@ def benjamini_hochberg(
         distinct, group, p, {"_rank": F.col("_w")}, splits=splits, keep_bucket=True, small_group=small_group
     )
     keys = [*group, "_b"]
-    if group:
+    if n_tests is not None:
+        ranked = ranked.withColumn("_n", n_tests)
+    elif group:
         ranked = ranked.join(distinct.groupBy(*group).agg(F.sum("_w").alias("_n")), group)
     else:
         ranked = ranked.withColumn("_n", distinct.agg(F.sum("_w")).scalar())
