@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cytoframe.session import ship_package
+
 SYMBOL_SQL = (
     "concat(CASE WHEN p_brand LIKE 'Brand#1%' THEN 'MT-' WHEN p_brand LIKE 'Brand#2%' THEN 'RPL' "
     "WHEN p_brand LIKE 'Brand#3%' THEN 'RPS' WHEN p_brand LIKE 'Brand#4%' THEN 'HBA' ELSE 'GENE' END, "
@@ -22,6 +24,7 @@ class Model:
     """Lazy DataFrames over one table folder; nothing is read until an action runs."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        ship_package(spark)
         self.spark = spark
         self.folder = folder
 

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _erfc = np.vectorize(math.erfc, otypes=[float])
@@ -65,21 +66,22 @@ def t_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     return beta_tail(df / 2.0, np.full_like(df, 0.5), df / (df + t * t))
 
 
-@F.pandas_udf("double")
-def normal_p(z: pd.Series) -> pd.Series:
-    """Two-sided standard normal p-value."""
+def _normal_p(z: pd.Series) -> pd.Series:
     out = _erfc(np.abs(z.fillna(0.0).to_numpy(float)) / math.sqrt(2.0))
     return pd.Series(out, index=z.index).where(z.notna())
 
 
-@F.pandas_udf("double")
-def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
-    """Two-sided Student t p-value."""
+def _student_p(t: pd.Series, df: pd.Series) -> pd.Series:
     ok = t.notna() & df.notna()
     out = t_two_sided(t.where(ok, 0.0).to_numpy(float), df.where(ok, 1.0).to_numpy(float))
     return pd.Series(out, index=t.index).where(ok)
 
 
-@F.pandas_udf("double")
-def ln_gamma(x: pd.Series) -> pd.Series:
-    return pd.Series(log_gamma(x.to_numpy(float)), index=x.index)
+def normal_p(z) -> Column:
+    """Two-sided standard normal p-value of a column."""
+    return F.pandas_udf(_normal_p, "double")(z)
+
+
+def student_p(t, df) -> Column:
+    """Two-sided Student t p-value of a (t, df) column pair."""
+    return F.pandas_udf(_student_p, "double")(t, df)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +23,26 @@ def build_session(app: str = "cytoframe", master: str | None = None, **extra: st
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cytoframe_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="cytoframe-code-"), "cytoframe.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.join("cytoframe", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    sc._cytoframe_shipped = True
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
