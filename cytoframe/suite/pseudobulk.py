@@ -6,6 +6,8 @@ and priority (condition); genes are brand-by-type combinations.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from cytoframe.adapters import with_ctes
@@ -143,23 +145,23 @@ def welch_test(m):
     return pb.welch_test(*pairs(m), "condition", "1-URGENT", "5-LOW")
 
 
-_SECOND = [
-    s.replace("smp", "smp2").replace("n AS", "n2 AS").replace(", n WHERE", ", n2 WHERE").replace(", n GROUP", ", n2 GROUP")
-    .replace("kept", "kept2").replace("seen", "seen2").replace("grid", "grid2").replace("lib AS (", "lib2 AS (").replace("JOIN lib ", "JOIN lib2 ")
-    .replace("cpm AS (", "cpm2 AS (").replace("FROM cpm,", "FROM cpm2,").replace("wm AS", "wm2 AS").replace("FROM wm)", "FROM wm2)")
-    .replace("welch AS", "welch2 AS").replace("1-URGENT", "2-HIGH")
-    for s in WELCH[len(PAIR):]
-]
+def _again(sql: str) -> str:
+    """The same CTE chain under new names for a second contrast."""
+    renamed = re.sub(r"\b(smp|n|seen|kept|grid|lib|cpm|wm|welch)\b(?! AS (?:c|g)\b)", r"\g<1>_2", sql)
+    return renamed.replace("lib_2 +", "lib +").replace("AS lib_2,", "AS lib,").replace("END AS lib_2", "END AS lib").replace("1-URGENT", "2-HIGH")
+
+
+_SECOND = [_again(s) for s in WELCH[len(PAIR):]]
 
 
 @query(
     "j08_compare_contrasts",
     with_ctes(
         *WELCH, *_SECOND,
-        "bth AS (SELECT gene, a.logFC AS a, b.logFC AS b, a.t AS ta, b.t AS tb FROM welch a JOIN welch2 b USING (gene))",
+        "bth AS (SELECT gene, a.logFC AS a, b.logFC AS b, a.t AS ta, b.t AS tb FROM welch a JOIN welch_2 b USING (gene))",
         "rk AS (SELECT *, rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb FROM bth)",
         "SELECT count(*) AS n_common_genes, round(corr(ra, rb), 6) AS spearman_logfc, CAST(20 AS BIGINT) AS top_n, "
-        "(SELECT count(*) FROM (SELECT gene FROM welch ORDER BY abs(t) DESC, gene LIMIT 20) JOIN (SELECT gene FROM welch2 ORDER BY abs(t) DESC, gene LIMIT 20) USING (gene)) / CAST(20 AS DOUBLE) AS top_n_overlap_fraction, "
+        "(SELECT count(*) FROM (SELECT gene FROM welch ORDER BY abs(t) DESC, gene LIMIT 20) JOIN (SELECT gene FROM welch_2 ORDER BY abs(t) DESC, gene LIMIT 20) USING (gene)) / CAST(20 AS DOUBLE) AS top_n_overlap_fraction, "
         "avg(CAST(sign(a) = sign(b) AS DOUBLE)) AS logfc_sign_agreement FROM rk",
     ),
 )
