@@ -203,7 +203,7 @@ def multiclass_metrics(long: DataFrame, row: str = "row_id", cls: str = "cls", l
     per = long.select(F.col(cls).alias("c")).distinct().join(per, "c", "left").na.fill(0)
     prec, rec = _or_zero(F.col("tp"), F.col("np")), _or_zero(F.col("tp"), F.col("nt"))
     per = per.withColumns({"recall": rec, "f1": _or_zero(2 * prec * rec, prec + rec)})
-    aucs = auc(long.select(F.col(cls), (F.col(cls) == F.col(truth)).cast("int").alias("_y"), F.exp("log_prob").alias("_p")), "_y", "_p", [cls])
+    aucs = auc(long.select(F.col(cls), (F.col(cls) == F.col(truth)).cast("int").alias("_y"), F.round(F.exp("log_prob"), 12).alias("_p")), "_y", "_p", [cls])
     rows = per_row.agg(
         F.avg((F.col("pred") == F.col("truth")).cast("double")).alias("accuracy"),
         (-F.avg(F.ln(F.greatest(F.exp("lp"), F.lit(1e-6))))).alias("log_loss"),

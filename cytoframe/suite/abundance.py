@@ -210,15 +210,15 @@ def multi(m):
         "lp AS (SELECT *, logit - ln(sum(exp(logit)) OVER (PARTITION BY row_id)) AS lp FROM ml)",
         "pr AS (SELECT row_id, arg_max(cls, (logit, -k)) AS pred, any_value(truth) AS truth, max(lp) FILTER (cls = truth) AS lp FROM (SELECT lp.*, dense_rank() OVER (ORDER BY cls) AS k FROM lp) GROUP BY 1)",
         "cl AS (SELECT cls, (SELECT count(*) FROM pr WHERE pred = cls AND truth = cls) AS tp, (SELECT count(*) FROM pr WHERE pred = cls) AS np, (SELECT count(*) FROM pr WHERE truth = cls) AS nt FROM (SELECT DISTINCT cls FROM ml))",
-        "rk AS (SELECT cls, CAST(cls = truth AS INTEGER) AS y, rank() OVER (PARTITION BY cls ORDER BY round(exp(lp), 14)) + (count(*) OVER (PARTITION BY cls, round(exp(lp), 14)) - 1) / CAST(2 AS DOUBLE) AS r FROM lp)",
+        "rk AS (SELECT cls, CAST(cls = truth AS INTEGER) AS y, rank() OVER (PARTITION BY cls ORDER BY round(exp(lp), 10)) + (count(*) OVER (PARTITION BY cls, round(exp(lp), 10)) - 1) / CAST(2 AS DOUBLE) AS r FROM lp)",
         "au AS (SELECT cls, (sum(r) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / CAST(2 AS DOUBLE)) / (CAST(count(*) FILTER (y = 1) AS DOUBLE) * count(*) FILTER (y = 0)) AS a FROM rk GROUP BY 1)",
         "SELECT round((SELECT avg(CAST(pred = truth AS DOUBLE)) FROM pr), 6) AS accuracy, round((SELECT avg(CAST(tp AS DOUBLE) / nt) FROM cl), 6) AS balanced_accuracy, "
-        "round((SELECT avg(2 * CAST(tp AS DOUBLE) / (np + nt)) FROM cl), 6) AS macro_f1, round((SELECT -avg(ln(greatest(exp(lp), 1e-6))) FROM pr), 6) AS log_loss, round((SELECT avg(a) FROM au), 4) AS macro_auc",
+        "round((SELECT avg(2 * CAST(tp AS DOUBLE) / (np + nt)) FROM cl), 6) AS macro_f1, round((SELECT -avg(ln(greatest(exp(lp), 1e-6))) FROM pr), 6) AS log_loss, round((SELECT avg(a) FROM au), 6) AS macro_auc",
     ),
 )
 def multiclass_metrics(m):
     out = ab.multiclass_metrics(multi(m))
-    return out.withColumns({c: F.round(c, 4 if c == "macro_auc" else 6) for c in out.columns})
+    return out.withColumns({c: F.round(c, 6) for c in out.columns})
 
 
 @query(
