@@ -11,7 +11,7 @@ from cytoframe.adapters import Model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("quality", "matrices", "markers", "pseudobulk", "abundance", "copynumber")
+_MODULES = ("quality", "matrices", "markers", "pseudobulk", "abundance", "copynumber", "evidence")
 _LATER = (
     "tables", "quality", "matrices", "markers", "pseudobulk", "abundance", "copynumber", "evidence", "comparison",
     "programs", "embedding", "neighbours", "io",
