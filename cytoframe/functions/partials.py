@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 SCHEMA = "name string, shape array<int>, r int, lane int, vals array<double>"
 
+SMALL = 100_000
+
 
 def matrix_sums(df: DataFrame, part: Callable[[pd.DataFrame], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     """Add up the arrays ``part`` returns for every Arrow batch of ``df``.
 
     Each task folds its batches into one set of arrays and emits them row by row; rows
-    are then added per (name, row, lane) and per (name, row), so neither a task nor the
-    driver holds more than a bounded stack of matrix rows.  Only the final sums return.
+    are then added per (name, row) - on wide inputs per (name, row, lane) first - so neither a
+    task nor the driver holds more than a bounded stack of matrix rows.  Only the final
+    sums return.
     """
 
     def fold(batches):
@@ -30,7 +33,7 @@ def matrix_sums(df: DataFrame, part: Callable[[pd.DataFrame], dict[str, np.ndarr
                 total[name] = total[name] + value if name in total else value
         lane = int(np.random.default_rng().integers(32))
         for name, value in total.items():
-            flat = value.reshape(-1, value.shape[-1]) if value.ndim else value.reshape(1, 1)
+            flat = value.reshape(1, -1) if value.size <= SMALL else value.reshape(-1, value.shape[-1])
             yield pd.DataFrame(
                 {"name": name, "shape": [list(value.shape)] * len(flat), "r": np.arange(len(flat), dtype="int32"), "lane": lane, "vals": list(flat)}
             )
@@ -41,7 +44,9 @@ def matrix_sums(df: DataFrame, part: Callable[[pd.DataFrame], dict[str, np.ndarr
         return first
 
     parts = df.mapInPandas(fold, SCHEMA)
-    summed = parts.groupBy("name", "r", "lane").applyInPandas(add, SCHEMA).groupBy("name", "r").applyInPandas(add, SCHEMA)
+    if df.rdd.getNumPartitions() > 64:
+        parts = parts.groupBy("name", "r", "lane").applyInPandas(add, SCHEMA)
+    summed = parts.groupBy("name", "r").applyInPandas(add, SCHEMA)
     rows = summed.select("name", "shape", "r", "vals").toPandas()
     out = {}
     for name, group in rows.groupby("name"):
