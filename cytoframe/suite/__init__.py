@@ -11,11 +11,7 @@ from cytoframe.adapters import Model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("quality", "matrices", "markers", "pseudobulk", "abundance", "copynumber", "evidence", "tables", "io", "embedding", "neighbours")
-_LATER = (
-    "tables", "quality", "matrices", "markers", "pseudobulk", "abundance", "copynumber", "evidence", "comparison",
-    "programs", "embedding", "neighbours", "io",
-)
+_MODULES = ("quality", "matrices", "markers", "pseudobulk", "abundance", "copynumber", "evidence", "tables", "io", "embedding", "neighbours", "programs", "comparison")
 
 
 def query(name: str, sql: str | None = None):

@@ -49,7 +49,7 @@ def communities(m):
 
 @query("m07_communities_distributed")
 def communities_distributed(m):
-    return graph.communities(edges(m), [(1.0, 0)], small_edges=1000)
+    return graph.communities(edges(m), [(1.0, 0)], small_edges=4000)
 
 
 @query("m07_o08_cluster_search")
