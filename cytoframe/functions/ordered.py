@@ -36,6 +36,12 @@ def _cuts(df: DataFrame, group: Sequence[str], x: str, splits: int) -> DataFrame
     return df.groupBy(*group).agg(F.array_sort(F.array_distinct(sketch)).alias("_cuts"))
 
 
+def _global_cuts(df: DataFrame, x: str, splits: int) -> Column:
+    """Cut points of the whole table as a literal (at most ``splits`` doubles come to the driver)."""
+    found = _cuts(df, [], x, splits).head()[0]
+    return F.lit([float(c) for c in found or []]).cast("array<double>")
+
+
 def _position(cuts: Column, x: Column) -> Column:
     """2k for the open interval after k cut points, 2k-1 for a value equal to the k-th."""
     below = F.size(F.filter(cuts, lambda c: c < x))
@@ -57,10 +63,10 @@ def add_bucket(
         out = clean.join(_cuts(clean, group, x, n), list(group))
         out = out.withColumn("_b", _position(F.col("_cuts"), value)).drop("_cuts")
     else:
-        out = clean.withColumn("_b", _position(_cuts(clean, [], x, n).scalar(), value))
+        out = clean.withColumn("_b", _position(_global_cuts(clean, x, n), value))
     if tiebreak is None:
         return out.withColumn("_b2", F.lit(0))
-    ties = _cuts(clean.select(tiebreak), [], tiebreak, n).scalar()
+    ties = _global_cuts(clean.select(tiebreak), tiebreak, n)
     inner = _position(ties, F.col(tiebreak).cast("double"))
     return out.withColumn("_b2", F.when(F.col("_b") % 2 == 1, inner).otherwise(F.lit(0)))
 

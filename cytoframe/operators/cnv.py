@@ -477,9 +477,10 @@ def _leader_groups(cells: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     ))
     packs = leaders.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("lead", "lx"))).alias("leaders"))
     kind = dict(cells.dtypes)
-    spread = 64
+    most = cells.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).head()[0] or 1
+    spread = max(1, -(-int(most) // 20_000))
     salted = cells.withColumn("_salt", F.pmod(F.xxhash64("obs_id"), F.lit(spread)).cast("int"))
-    packs = packs.select("sample_id", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_salt"), "leaders")
+    packs = packs.select(F.col("sample_id").alias("_s"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_lane"), "leaders")
 
     def nearest(left, right):
         if not len(left) or not len(right):
@@ -492,7 +493,7 @@ def _leader_groups(cells: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
         return left[["sample_id", "obs_id"]].assign(lead=out)
 
     schema = f"sample_id {kind['sample_id']}, obs_id {kind['obs_id']}, lead int"
-    owner = cut(salted.groupBy("sample_id", "_salt").cogroup(packs.groupBy("sample_id", "_salt")).applyInPandas(nearest, schema))
+    owner = cut(salted.groupBy("sample_id", "_salt").cogroup(packs.groupBy("_s", "_lane")).applyInPandas(nearest, schema))
     owner = owner.withColumn("node", F.format_string("L%06d", "lead"))
     long = cells.join(owner, ["sample_id", "obs_id"]).select("sample_id", "node", F.posexplode("trimmed").alias("w", "s"))
     means = long.groupBy("sample_id", "node", "w").agg(F.avg("s").alias("m"), F.count(F.lit(1)).cast("double").alias("k"))
