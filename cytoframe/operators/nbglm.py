@@ -30,7 +30,7 @@ def size_factors(counts: DataFrame, samples: DataFrame) -> DataFrame:
     Ratios use genes positive in every sample; without any, the geometric mean over
     positive samples; and library size where a median is missing.
     """
-    data = cut(counts.where(F.col("count") > 0).join(samples.select("pseudobulk_id"), "pseudobulk_id", "left_semi"))
+    data = counts.where(F.col("count") > 0).join(samples.select("pseudobulk_id"), "pseudobulk_id", "left_semi")
     n = samples.count()
     per_gene = cut(data.groupBy("var_id").agg(F.count(F.lit(1)).alias("k"), F.exp(F.avg(F.ln("count"))).alias("geo")))
     full = per_gene.where(F.col("k") == n)
@@ -340,12 +340,9 @@ def prepare(
     """Gene vectors over the contrast's samples, the shared design, and the size factors."""
     samples, _, _ = contrast_samples(metadata, condition, ctrl, test, min_samples)
     samples = cut(samples)
-    data = cut(
-        counts.where(F.col("count") > 0)
-        .join(samples, "pseudobulk_id", "left_semi")
-        .join(counts.join(samples, "pseudobulk_id", "left_semi").groupBy("var_id").agg(F.sum("count").alias("_t"))
-              .where(F.col("_t") >= min_total).select("var_id"), "var_id", "left_semi")
-    )
+    data = cut(counts.where(F.col("count") > 0).join(samples, "pseudobulk_id", "left_semi"))
+    seen = data.groupBy("var_id").agg(F.sum("count").alias("_t")).where(F.col("_t") >= min_total).select("var_id")
+    data = cut(data.join(seen, "var_id", "left_semi"))
     factors = cut(size_factors(data, samples))
     table = samples.join(factors, "pseudobulk_id").orderBy("pseudobulk_id").toPandas()
     position = samples.sparkSession.createDataFrame(

@@ -108,6 +108,7 @@ def welch_contrast(
     """Per gene logFC, logCPM, t and df; moments come from stored entries plus zero levels."""
     samples, n0, n1 = contrast_samples(metadata, condition, ctrl, test, min_samples)
     samples = cut(samples)
+    counts = cut(counts.join(samples.select("pseudobulk_id"), "pseudobulk_id", "left_semi"))
     genes = cut(expressed_genes(counts, samples, n0, n1, min_count, min_total).select("var_id"))
     entries, level = log_cpm(counts, samples, genes, prior)
     y, z = F.col("log_cpm"), F.col("zero_level")

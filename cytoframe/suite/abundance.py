@@ -344,3 +344,35 @@ def bags(m):
 )
 def sample_stats(m):
     return ab.sample_stats(m.composition)
+
+
+def _bag_vectors(m):
+    from cytoframe.operators import mil
+
+    counts = ab.bags(table(m))
+    types = [r[0] for r in counts.select("cell_type").distinct().orderBy("cell_type").collect()]
+    return mil.sample_vectors(counts, types), types
+
+
+@query("b03_b05_mil_binary")
+def mil_binary(m):
+    from cytoframe.operators import mil
+
+    vectors, types = _bag_vectors(m)
+    labels = ab.binary_labels(metadata(m).withColumn("half", (F.col("sample_id") % 2).cast("string")), "half", "1", "0")
+    data = vectors.join(labels.select("sample_id", F.col("y").cast("double").alias("y")), "sample_id")
+    params, _ = mil.fit_mil(data, "binary", len(types), cfg=mil.MilConfig(hidden=16, epochs=5, learning_rate=0.01))
+    out = data.join(mil.predict(data, params, 1), "sample_id")
+    logit = F.element_at("logits", 1)
+    return out.select("sample_id", "y", logit.alias("logit"), ab.sigmoid(logit).alias("probability"))
+
+
+@query("b03_b05_mil_survival")
+def mil_survival(m):
+    from cytoframe.operators import mil
+
+    vectors, types = _bag_vectors(m)
+    times = metadata(m).select("sample_id", F.col("value").alias("time"), (F.col("sample_id") % 3 > 0).cast("int").alias("event"))
+    data = vectors.join(times, "sample_id")
+    params, _ = mil.fit_mil(data, "survival", len(types), cfg=mil.MilConfig(hidden=8, epochs=2))
+    return data.select("sample_id", "time", "event").join(mil.predict(data, params, 1).select("sample_id", F.element_at("logits", 1).alias("risk")), "sample_id")

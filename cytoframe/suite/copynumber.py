@@ -77,8 +77,9 @@ def refs(m):
     return cnv.reference_cells(m.obs, "cluster", LABELS, True)
 
 
-def chosen(m):
-    avg = cnv.pooled_average(known(m), m.obs, refs(m)).withColumn("average", F.round("average", 9))
+def chosen(m, owners=None, expr=None):
+    owners = refs(m) if owners is None else owners
+    avg = cnv.pooled_average(known(m) if expr is None else expr, m.obs, owners).withColumn("average", F.round("average", 9))
     return cnv.select_genes(cut(avg), coords(m), CFG.top_n_genes)
 
 
@@ -146,9 +147,9 @@ def scale(m):
 
 
 def run(m):
-    top, genes = (cut(d) for d in chosen(m))
-    kept = cut(known(m).join(genes.select("var_id"), "var_id", "left_semi"))
-    r = refs(m)
+    r, expr = refs(m), cut(known(m))
+    top, genes = (cut(d) for d in chosen(m, r, expr))
+    kept = expr.join(genes.select("var_id"), "var_id", "left_semi")
     factors = cut(cnv.scale_factors(kept, m.obs, genes, r))
     cells, names = cnv.window_scores(kept, m.obs, genes, factors, cnv.genomic_windows(top, CFG.window_size, CFG.window_step))
     return cut(cells), names, r
@@ -278,11 +279,11 @@ def clusters(m):
 
 @query("c01_c03_pooled_run")
 def pooled_run(m):
-    done = cnv.run_cnv(m.expr_part, coords(m), m.obs, "cluster", LABELS, CFG)
+    done = cnv.run_cnv(cut(m.expr_part), coords(m), m.obs, "cluster", LABELS, CFG)
     return done.cells.drop("scores", "trimmed")
 
 
 @query("c02_single_run")
 def single_run(m):
-    done = cnv.run_cnv(m.expr_part, coords(m), m.obs, "cluster", LABELS, CFG, by_sample=False)
+    done = cnv.run_cnv(cut(m.expr_part), coords(m), m.obs, "cluster", LABELS, CFG, by_sample=False)
     return done.cells.select("obs_id", "cnv_fraction")
