@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,13 +55,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
-    Iterative operators call this between rounds: the plan stays short and a lost
-    executor re-reads the checkpoint instead of replaying every earlier round.
+    Iterative operators call this between rounds: the plan stays short, a lost executor
+    re-reads files instead of replaying every earlier round, and the file sizes let
+    Catalyst choose join strategies for what follows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def split_count(df: DataFrame, low: int = 16, high: int = 256) -> int:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cytoframe.adapters import COORDS, EXPR_PART, OBS
 from cytoframe.adapters import with_ctes as _with_ctes
 from cytoframe.operators import cnv
+from cytoframe.plans import workflows
 from cytoframe.session import cut
 from cytoframe.suite import query
 
@@ -287,3 +288,9 @@ def pooled_run(m):
 def single_run(m):
     done = cnv.run_cnv(cut(m.expr_part), coords(m), m.obs, "cluster", LABELS, CFG, by_sample=False)
     return done.cells.select("obs_id", "cnv_fraction")
+
+
+@query("c19_tumour_workflow")
+def tumour_workflow(m):
+    obs = pool(m).drop("reference_pool")
+    return workflows.run_tumour_cnv(obs, cut(m.expr_part), coords(m), CFG, status="tumor_status")[0]
