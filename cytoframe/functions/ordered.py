@@ -54,7 +54,7 @@ def add_bucket(
     """Add ``_b`` (and ``_b2``): bucket numbers that rise with ``x`` inside each group.
 
     A value frequent enough to be a cut point gets its own bucket, which is divided
-    again by ``tiebreak`` so heavy ties do not pile up in one task.
+    again by a numeric ``tiebreak`` so heavy ties do not pile up in one task.
     """
     n = splits or split_count(df)
     value = F.col(x).cast("double")
@@ -64,7 +64,7 @@ def add_bucket(
         out = out.withColumn("_b", _position(F.col("_cuts"), value)).drop("_cuts")
     else:
         out = clean.withColumn("_b", _position(_global_cuts(clean, x, n), value))
-    if tiebreak is None:
+    if tiebreak is None or dict(df.dtypes)[tiebreak] == "string":
         return out.withColumn("_b2", F.lit(0))
     ties = _global_cuts(clean.select(tiebreak), tiebreak, n)
     inner = _position(ties, F.col(tiebreak).cast("double"))
