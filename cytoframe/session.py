@@ -47,10 +47,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir; make one only if unset."""
+    """Use the folder the cluster names in spark.checkpoint.dir; only a local master may go without."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="cytoframe-ckpt-"))
 
 
