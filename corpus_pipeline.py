@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import language_backoff, line_ledger
-from cytoframe.llm.common import fold, table
+from cytoframe.llm import chosen_path, decontaminate, language_backoff, line_ledger, mix_flow
+from cytoframe.llm.common import fold, row_key, table
 from cytoframe.session import ensure_checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -36,9 +36,31 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates (five-word shingles, similarity 0.8) stays: the one with the smallest id."""
+    return chosen_path.one_of_each(docs.select(*COLUMNS), k=5, percent=80)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    rows = docs.select(*COLUMNS).withColumn("_row", F.xxhash64("doc_id", "text"))
+    found = decontaminate.matches(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return rows.join(found.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(*COLUMNS)
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes, with ``taken``: their words times their copies."""
+    taken = mix_flow.mix(docs.select("doc_id", "text", "source")).where("taken > 0")
+    taken = taken.groupBy("_id", "_t").agg(F.max("taken").alias("taken"))
+    return docs.select(*COLUMNS).withColumns(row_key()).join(taken, ["_id", "_t"]).select(*COLUMNS, "taken")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", language_stage),
     ("lines", line_stage),
+    ("near duplicates", near_stage),
+    ("benchmark", benchmark_stage),
+    ("mix", mix_stage),
 ]
 
 
@@ -46,7 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ensure_checkpoint_dir(spark)
     root = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
-        docs = spark.read.parquet(f"{root}/{name}")
+    for n, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{root}/{n}")
+        docs = spark.read.parquet(f"{root}/{n}")
     return docs

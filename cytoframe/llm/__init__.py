@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("line_ledger", "language_backoff")
+_MODULES = (
+    "quality_mil", "line_ledger", "secret_ledger", "decontaminate", "outlier_rules", "hidden_markov", "mix_flow",
+    "language_backoff", "chosen_path",
+)
 
 
 def query(name: str, sql: str | None = None):

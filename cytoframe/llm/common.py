@@ -15,7 +15,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: The same in DuckDB's SQL.
 SQL_BLANKS = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
-SQL_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), x -> x <> '')"
 
 
 def sql_lower(x: str) -> str:
