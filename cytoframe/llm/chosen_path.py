@@ -193,7 +193,7 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     kept = similar_classes(docs, k, percent).where("doc_id = component_id").groupBy("_id").agg(F.min("_t").alias("_t"))
     mine = docs.withColumns(row_key())
     stay = mine.where("doc_id IS NOT NULL").join(kept, ["_id", "_t"], "left_semi")
-    return stay.dropDuplicates(["_id"]).union(mine.where("doc_id IS NULL")).drop("_id", "_t")
+    return stay.dropDuplicates(["_id", "_t"]).unionByName(mine.where("doc_id IS NULL")).drop("_id", "_t")
 
 
 WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
