@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 _MODULES = (
-    "quality_mil", "line_ledger", "secret_ledger", "decontaminate", "outlier_rules", "hidden_markov", "mix_flow",
+    "quality_mil", "line_ledger", "secret_ledger", "decontaminate", "surrogates", "outlier_rules", "hidden_markov", "mix_flow",
     "language_backoff", "chosen_path",
 )
 

@@ -268,7 +268,8 @@ def score(docs: DataFrame, own: int = 16_000, listed: int = 250_000, passes: int
     counts = cut(docs.where("NOT held_out").select("text").mapInArrow(_count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
     size = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, types = int(size["n"] or 0), int(size["v"])
-    top = counts.orderBy(F.desc("c"), "h").limit(listed).toPandas()
+    end = counts.where(F.col("h") == F.lit(int(END)))
+    top = counts.where(F.col("h") != F.lit(int(END))).orderBy(F.desc("c"), "h").limit(listed).union(end).toPandas()
     lexicon = Lexicon(top, own, tokens, types, np.ones(SHARED))
     # words and tokens of each class, over the whole vocabulary
     own_keys = sc.broadcast(lexicon.own)
