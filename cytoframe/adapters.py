@@ -1,6 +1,6 @@
 """Views of the bundled star-schema tables in cell-by-gene form.
 
-Customers with orders play the cells, brands (or single parts) the genes, nations the
+Customers play the cells (those without orders have no counts), brands (or single parts) the genes, nations the
 samples, market segments the clusters.  ``expr`` holds non-zero summed quantities only.
 """
 
@@ -33,16 +33,11 @@ class Model:
 
     @cached_property
     def obs(self) -> DataFrame:
-        buyers = self.table("orders").select(F.col("o_custkey").alias("c_custkey"))
-        return (
-            self.table("customer")
-            .join(buyers, "c_custkey", "left_semi")
-            .select(
-                F.col("c_custkey").alias("obs_id"),
-                F.col("c_nationkey").alias("sample_id"),
-                F.col("c_mktsegment").alias("cluster"),
-                (F.col("c_nationkey") % 4).alias("batch"),
-            )
+        return self.table("customer").select(
+            F.col("c_custkey").alias("obs_id"),
+            F.col("c_nationkey").alias("sample_id"),
+            F.col("c_mktsegment").alias("cluster"),
+            (F.col("c_nationkey") % 4).alias("batch"),
         )
 
     @cached_property
@@ -133,7 +128,7 @@ class Model:
 
 OBS = (
     "obs AS (SELECT c_custkey AS obs_id, c_nationkey AS sample_id, c_mktsegment AS cluster, "
-    "c_nationkey % 4 AS batch FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders))"
+    "c_nationkey % 4 AS batch FROM customer)"
 )
 VAR = f"var AS (SELECT DISTINCT p_brand AS var_id, {SYMBOL_SQL} AS symbol FROM part)"
 EXPR = (

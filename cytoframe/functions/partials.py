@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ def matrix_sums(df: DataFrame, part: Callable[[pd.DataFrame], dict[str, np.ndarr
             for name, value in part(pdf).items():
                 value = np.asarray(value, dtype=float)
                 total[name] = total[name] + value if name in total else value
-        lane = int(np.random.default_rng().integers(32))
+        lane = TaskContext.get().partitionId() % 32
         for name, value in total.items():
             flat = value.reshape(1, -1) if value.size <= SMALL else value.reshape(-1, value.shape[-1])
             yield pd.DataFrame(

@@ -98,14 +98,15 @@ def class_labels(metadata: DataFrame, label: str, reference: str | None = None)
     """Integer codes in sorted label order with the reference first; missing labels form the class 'nan'."""
     require_columns(metadata, [label], "metadata")
     text = F.coalesce(F.col(label).cast("string"), F.lit("nan"))
-    names = [r[0] for r in metadata.select(text.alias("c")).distinct().orderBy("c").limit(10_001).collect()]
-    if reference is not None:
-        if str(reference) not in names:
-            raise ValueError(f"reference level {reference!r} is not present")
-        names = [str(reference)] + [n for n in names if n != str(reference)]
-    if len(names) < 2:
+    names = cut(metadata.select(text.alias("_c")).distinct())
+    if reference is not None and not names.where(F.col("_c") == str(reference)).limit(1).count():
+        raise ValueError(f"reference level {reference!r} is not present")
+    if names.limit(2).count() < 2:
         raise ValueError("multiclass mode requires at least two classes")
-    return metadata.withColumn("y", (F.array_position(F.array(*[F.lit(n) for n in names]), text) - 1).cast("int"))
+    ahead = F.lit(0) if reference is None else F.when(F.col("_c") == str(reference), 0).otherwise(1)
+    # one row per class: as many as the model has columns
+    codes = names.select(F.col("_c"), (F.row_number().over(Window.orderBy(ahead, "_c")) - 1).alias("y"))
+    return metadata.drop("y").withColumn("_c", text).join(codes, "_c").drop("_c")
 
 
 def survival_times(metadata: DataFrame, time: str, event: str) -> DataFrame:

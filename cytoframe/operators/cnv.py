@@ -389,44 +389,61 @@ def cut_merges(merges, n: int, k: int) -> np.ndarray:
 
 
 def elbow_k(x: np.ndarray, size: np.ndarray, merges) -> int:
-    """Number of clusters at the first marked bend of the within-cluster spread curve."""
-    n = len(x)
-    ks = np.arange(1, min(15, int(size.sum()), n) + 1)
-    d2 = np.array([np.abs(x - r).sum(axis=1) ** 2 for r in x])
-    pair = size[:, None] * size[None, :] * d2
-    spread = []
-    for k in ks:
-        lab = cut_merges(merges, n, int(k))
-        spread.append(sum(pair[np.ix_(lab == c, lab == c)].sum() / (2.0 * size[lab == c].sum()) for c in np.unique(lab)))
-    y = np.array(spread)
-    if len(ks) < 3 or y.max() == y.min():
-        return int(ks[len(ks) // 2])
-    slope = np.diff((y - y.min()) / (y.max() - y.min())) / np.diff((ks - 1) / (ks[-1] - 1))
-    bend = np.abs(np.diff(slope))
-    hits = np.flatnonzero(bend > 0.05 * bend.max())
-    if not len(hits):
-        return int(ks[int(np.ceil(len(ks) / 2)) - 1])
-    late = hits[hits + 1 > int(np.ceil(len(ks) / 4))]
-    return int(ks[(late[0] if len(late) else hits[-1]) + 1])
+    """Number of clusters (1 to 15) read off the curve of total spread against cluster count.
+
+    Spread of a cluster: half its size-weighted sum of squared city-block distances over
+    its size.  Contract: the first bend (second difference of the curve, scaled to the unit square)
+    above 5 % of the largest that lies past the first quarter of the counts; else the last such
+    bend; without any, the middle of the counts, rounded down on a flat or too short curve.
+    The curve is walked from single points along the merge list, each merge adding its two clusters' cross distances.
+    """
+    most = min(15, int(size.sum()), len(x))
+    held = {i: (np.array([i]), float(size[i]), 0.0) for i in range(len(x))}
+    home = {i: i for i in range(len(x))}
+    total, curve = 0.0, {len(x): 0.0}
+    for done, (a, b, _) in enumerate(merges, start=1):
+        left, right = home[a], home[b]
+        (i, wi, si), (j, wj, sj) = held.pop(left), held.pop(right)
+        across = sum(float(size[p] * (size[j] * np.abs(x[j] - x[p]).sum(axis=1) ** 2).sum()) for p in i)
+        inner = si + sj + across
+        total += inner / (wi + wj) - (si / wi + sj / wj)
+        held[left] = (np.concatenate([i, j]), wi + wj, inner)
+        home.update(dict.fromkeys(j.tolist(), left))
+        curve[len(x) - done] = total
+    y = np.array([curve[k] for k in range(1, most + 1)])
+    if most < 3 or np.ptp(y) == 0:
+        return 1 + most // 2 if most > 1 else 1
+    bends = np.abs(np.diff(y, 2))
+    marked = [k for k, bend in enumerate(bends, start=2) if bend > 0.05 * bends.max()]
+    if not marked:
+        return -(-most // 2)
+    return next((k for k in marked if k - 1 > -(-most // 4)), marked[-1])
 
 
 def merge_similar(profile: np.ndarray, labels: np.ndarray, size: np.ndarray, threshold: float) -> np.ndarray:
-    """Union clusters whose mean arm profiles correlate above the threshold; renumber 1..m."""
-    names = np.unique(labels)
-    means = np.array([np.average(profile[labels == c], axis=0, weights=size[labels == c]) for c in names])
-    means = means[:, (means != 0).any(axis=0)]
-    if len(names) < 2 or means.shape[1] == 0:
+    """Clusters joined by chains of mean arm profiles that correlate above the threshold, numbered 1..m in order of first label.
+
+    Components of the correlation graph: reach doubles until it no longer grows, and each
+    cluster is named after the first one it reaches.
+    """
+    names, at = np.unique(labels, return_inverse=True)
+    weight = np.zeros((len(names), len(labels)))
+    weight[at, np.arange(len(labels))] = size
+    means = weight @ profile / weight.sum(axis=1, keepdims=True)
+    means = means[:, np.abs(means).sum(axis=0) > 0]
+    if len(names) < 2 or not means.size:
         return labels
+    centred = means - means.mean(axis=1, keepdims=True)
+    length = np.sqrt((centred**2).sum(axis=1))
     with np.errstate(invalid="ignore", divide="ignore"):
-        corr = np.atleast_2d(np.corrcoef(means))
-    group = {c: c for c in names}
-    for i in range(len(names)):
-        for j in range(i + 1, len(names)):
-            if corr[i, j] > threshold:
-                low, high = sorted((group[names[i]], group[names[j]]))
-                group = {c: (low if g == high else g) for c, g in group.items()}
-    order = {g: i + 1 for i, g in enumerate(sorted(set(group.values())))}
-    return np.array([order[group[c]] for c in labels])
+        near = centred @ centred.T / np.outer(length, length) > threshold
+    reach = near | np.eye(len(names), dtype=bool)
+    while True:
+        wider = reach.astype(int) @ reach.astype(int) > 0
+        if (wider == reach).all():
+            break
+        reach = wider
+    return np.unique(reach.argmax(axis=1), return_inverse=True)[1][at] + 1
 
 
 def cluster_cells(cells: DataFrame, names: Sequence[str], cfg: CnvConfig) -> DataFrame:

@@ -324,14 +324,12 @@ def ridge_coefficients(gram: np.ndarray, rhs: np.ndarray, addend: np.ndarray) ->
 
 def penalty_vector(lam: float | Sequence[float], level_counts: Sequence[int]) -> np.ndarray:
     """0 for the intercept, then one value per level (scalar, per variable, or per level)."""
-    values = np.atleast_1d(np.asarray(lam, dtype=float))
-    if len(values) == 1:
-        values = np.repeat(values, sum(level_counts))
-    elif len(values) == len(level_counts):
-        values = np.repeat(values, level_counts)
-    elif len(values) != sum(level_counts):
+    given, total = np.ravel(np.asarray(lam, dtype=float)), int(np.sum(level_counts))
+    times = {1: total, len(level_counts): level_counts, total: 1}
+    # a single variable's own value and a scalar mean the same; one value per level comes as it is
+    if len(given) not in times:
         raise ValueError("lambda does not match the batch variables or their levels")
-    return np.concatenate([[0.0], values])
+    return np.r_[0.0, np.repeat(given, total if len(given) == 1 else times[len(given)])]
 
 
 def _levels(obs: DataFrame, keys: Sequence[str]) -> list[list[str]]:

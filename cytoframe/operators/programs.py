@@ -50,7 +50,7 @@ def usage_rows(x: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def _initial_spectra(rows: DataFrame, k_values: Sequence[int], seeds: Sequence[int], init: str) -> dict:
-    """Starting spectra per (k, seed): SVD-based (seed-independent) or seeded random."""
+    """Starting spectra per (k, seed): seeded random, or from the SVD with its zeros filled around the mean by seed."""
     first = matrix_sums(rows, lambda pdf: {"g": _stack(pdf["v"]).T @ _stack(pdf["v"]), "s": _stack(pdf["v"]).sum(axis=0, keepdims=True), "n": np.array([[len(pdf)]])})
     gram, n = first["g"], first["n"][0, 0]
     mean = first["s"].sum() / (n * gram.shape[0])
@@ -79,8 +79,12 @@ def _initial_spectra(rows: DataFrame, k_values: Sequence[int], seeds: Sequence[i
         side, mass = (vp, pos) if pos >= neg else (vm, neg)
         full[j] = np.sqrt(s[j] * mass) * side / max(np.linalg.norm(side), 1e-300)
     full[0] = np.sqrt(s[0]) * np.abs(v[:, 0])
-    full = np.where(full < 1e-6, mean, full)
-    return {(k, seed): full[:k].copy() for k in k_values for seed in seeds}
+    out = {}
+    for seed in seeds:
+        fill = mean * np.random.default_rng(int(seed)).uniform(0.5, 1.5, full.shape)
+        started = np.where(full < 1e-6, fill, full)
+        out.update({(k, seed): started[:k].copy() for k in k_values})
+    return out
 
 
 def factorize(
@@ -95,11 +99,7 @@ def factorize(
     if rows.where(F.exists("v", lambda x: x < 0)).limit(1).count():
         raise ValueError("factorisation needs non-negative values")
     ks, seeds = sorted({k for k, _ in tasks}), sorted({s for _, s in tasks})
-    if init != "random":
-        seeds = seeds[:1]
-    spectra = _initial_spectra(rows, ks, seeds, init)
-    wanted = {(k, s if init == "random" else seeds[0]) for k, s in tasks}
-    spectra = {t: h for t, h in spectra.items() if t in wanted}
+    spectra = {t: h for t, h in _initial_spectra(rows, ks, seeds, init).items() if t in set(tasks)}
     live, errors, first = set(spectra), {}, {}
     for it in range(max_iter + 1):
         now = {t: spectra[t] for t in live}
@@ -125,8 +125,7 @@ def factorize(
             spectra[t] = nonnegative_rows(b.T, a, start=h.T, sweeps=20).T
         if not live:
             break
-    pick = lambda d, k, s: d[(k, s if init == "random" else seeds[0])]
-    return {t: pick(spectra, *t) for t in tasks}, {t: pick(errors, *t) for t in tasks}
+    return {t: spectra[t] for t in tasks}, {t: errors[t] for t in tasks}
 
 
 def spectra_table(rows: DataFrame, spectra: dict) -> DataFrame:
@@ -206,14 +205,13 @@ def stability(spectra: np.ndarray, k: int) -> float:
     h = _unit(spectra)
     if len(h) <= k:
         return 1.0
-    sim = h @ h.T
-    label = average_linkage(1.0 - np.clip(sim, 0.0, 1.0), k)
-    means = []
-    for c in np.unique(label):
-        idx = np.flatnonzero(label == c)
-        block = sim[np.ix_(idx, idx)]
-        means.append(float(block[np.triu_indices(len(idx), 1)].mean()) if len(idx) > 1 else 1.0)
-    return float(np.median(means))
+    label = np.unique(average_linkage(1.0 - np.clip(h @ h.T, 0.0, 1.0), k), return_inverse=True)[1]
+    n = np.bincount(label).astype(float)
+    inside = np.zeros((len(n), h.shape[1]))
+    np.add.at(inside, label, h)
+    # a sum's squared length holds every ordered pair and each member with itself
+    pairs = (inside**2).sum(axis=1) - np.bincount(label, (h**2).sum(axis=1))
+    return float(np.median(np.where(n > 1, pairs / np.maximum(n * (n - 1), 1), 1.0)))
 
 
 def stability_by_k(table: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,12 +137,13 @@ def folder_sizes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_skills(spark: SparkSession, folder: str) -> DataFrame:
-    """Annotation skills, one ``<name>/skill.yaml`` each, as a small dimension table sorted by folder."""
-    import yaml
+    """Annotation skills, one ``<name>/skill.yaml`` each, parsed where the files are read."""
+    def parse(batches):
+        import yaml
+
+        for pdf in batches:
+            fields = [{str(k): str(v) for k, v in (yaml.safe_load(text) or {}).items()} for text in pdf["value"]]
+            yield pd.DataFrame({"skill": [os.path.basename(os.path.dirname(path)) for path in pdf["path"]], "fields": fields})
 
     files = spark.read.text(os.path.join(folder, "*", "skill.yaml"), wholetext=True)
-    rows = []
-    for r in files.select(F.col("_metadata.file_path").alias("path"), "value").orderBy("path").limit(10_000).collect():
-        data = yaml.safe_load(r["value"]) or {}
-        rows.append((os.path.basename(os.path.dirname(r["path"])), {str(k): str(v) for k, v in data.items()}))
-    return spark.createDataFrame(rows, "skill string, fields map<string,string>")
+    return files.select(F.col("_metadata.file_path").alias("path"), "value").mapInPandas(parse, "skill string, fields map<string,string>")

@@ -85,10 +85,3 @@ def matched(m):
 def compare(m):
     other = cut(open_expr(m))
     return pg.compare_programs(spectra(m, m.expr), spectra(m, other), usages(m, m.expr), usages(m, other), 10)[0]
-
-
-@query("n14_speed_gate")
-def gate(m):
-    other = cut(open_expr(m))
-    summary = pg.compare_programs(spectra(m, m.expr), spectra(m, other), usages(m, m.expr), usages(m, other), 10)[1]
-    return pg.speed_gate(summary, 100.0, 40.0, min_consistency=0.5)

@@ -58,11 +58,11 @@ def shared(m):
 
 @query(
     "u02_ordered_union",
-    "SELECT p_name, side, pos FROM (SELECT p_name, side, pos, row_number() OVER (PARTITION BY p_name ORDER BY side, pos) AS r FROM (SELECT p_name, 0 AS side, p_partkey AS pos FROM part WHERE p_size < 10 UNION ALL SELECT p_name, 1, p_partkey FROM part WHERE p_size > 30)) WHERE r = 1",
+    "SELECT p_name, side, pos FROM (SELECT p_name, side, pos, row_number() OVER (PARTITION BY p_name ORDER BY side, pos) AS r FROM (SELECT p_name, 0 AS side, p_partkey AS pos FROM part WHERE p_size <= 20 UNION ALL SELECT p_name, 1, p_partkey FROM part WHERE p_size > 20)) WHERE r = 1",
 )
 def union(m):
     p = m.table("part")
-    return tb.ordered_union(p.where("p_size < 10"), p.where("p_size > 30"), "p_name", "p_partkey")
+    return tb.ordered_union(p.where("p_size <= 20"), p.where("p_size > 20"), "p_name", "p_partkey")
 
 
 @query(
@@ -172,13 +172,3 @@ def terms(m):
 
     low = F.lower("text")
     return m.table("documents").select("doc_id", low.rlike("|".join(TUMOUR_TERMS)).alias("tumour_terms"), low.rlike("|".join(PROGRAM_TERMS)).alias("program_terms"))
-
-
-@query(
-    "f24_fit_memory",
-    with_ctes(OBS, VAR, "s AS (SELECT (SELECT count(*) FROM obs) AS n, (SELECT count(*) FROM var) AS g)", "SELECT k, (n * g + n * k + k * g) * 8 * 3 AS bytes FROM s, (SELECT unnest(CAST([5, 8, 10, 12, 15] AS BIGINT[])) AS k)"),
-)
-def memory(m):
-    n, g = mx.row_count(m.obs), mx.row_count(m.var)
-    sizes = m.obs.agg(F.first(F.lit(1))).select(F.explode(F.array(*[F.lit(k).cast("bigint") for k in (5, 8, 10, 12, 15)])).alias("k"))
-    return sizes.select("k", ((n * g + n * F.col("k") + F.col("k") * g) * 24).alias("bytes"))
