@@ -17,7 +17,7 @@ def test_more_than_ten_thousand_classes(spark):
 
 
 def test_skills_are_read_where_the_files_are(spark, tmp_path):
-    for name, text in (("a", "title: one\nlevel: 2\n"), ("b", "")):
+    for name, text in (("a", "title: one\nlevel: 2\n"), ("b", "# empty\n")):
         (tmp_path / name).mkdir()
         (tmp_path / name / "skill.yaml").write_text(text)
     got = {r["skill"]: dict(r["fields"]) for r in readers.read_skills(spark, str(tmp_path)).collect()}
