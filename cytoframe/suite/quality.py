@@ -205,3 +205,14 @@ def robust(m):
     z = qc.robust_z(cells_of(m), ["log10_total_counts", "pct_counts_mt"])
     names = ["log10_total_counts_z_sample", "pct_counts_mt_z_sample"]
     return rounded(z.select("obs_id", *names), names, 5)
+
+
+@query("qc_run", with_ctes(*_flag_ctes(3.0, 3.0, 3.0, 4.0, 4.0), FLAG_SELECT))
+def qc_run(m):
+    """The module-level run: metrics, flags and their tables in the work folder."""
+    from cytoframe.plans.workflows import run_qc
+    from cytoframe.suite.io import work_path
+
+    folder = work_path(m, "qc")
+    run_qc(m.obs, m.expr, m.var, folder)
+    return m.spark.read.parquet(f"{folder}/cells.parquet").select(FLAG_COLUMNS)
