@@ -96,8 +96,9 @@ def welch_columns(m1: Column, v1: Column, n1, m0: Column, v0: Column, n0) -> dic
     """t and Welch-Satterthwaite df of mean1 - mean0; df falls back to n - 2 on zero variance."""
     a, b = v1 / n1, v0 / n0
     t = (m1 - m0) / F.sqrt(F.greatest(a + b, F.lit(TINY)))
-    den = a * a / F.greatest(F.lit(n1) - 1, F.lit(1)) + b * b / F.greatest(F.lit(n0) - 1, F.lit(1))
-    df = F.when(den > 0, (a + b) * (a + b) / den).otherwise(F.greatest(F.lit(n1) + F.lit(n0) - 2, F.lit(1)).cast("double"))
+    n1, n0 = (n if isinstance(n, Column) else F.lit(n) for n in (n1, n0))
+    den = a * a / F.greatest(n1 - 1, F.lit(1)) + b * b / F.greatest(n0 - 1, F.lit(1))
+    df = F.when(den > 0, (a + b) * (a + b) / den).otherwise(F.greatest(n1 + n0 - 2, F.lit(1)).cast("double"))
     return {"t": t, "df": df}
 
 
@@ -141,6 +142,50 @@ def welch_test(*args, **kwargs) -> DataFrame:
     return benjamini_hochberg(table, "PValue", out="FDR").orderBy("PValue", "gene")
 
 
+def welch_by_type(
+    counts: DataFrame, metadata: DataFrame, condition: str, ctrl: str, test: str,
+    min_count: int = 10, min_total: int = 15, min_samples: int = 2, prior: float = 0.5,
+) -> tuple[DataFrame, DataFrame]:
+    """The Welch contrast of every cell type in one job, and (cell_type, n_ctrl, n_test, tested).
+
+    As ``welch_contrast`` with ``cell_type`` as a key: group sizes, gene filter, library sizes and
+    zero levels are those of the type.  Types with too few samples have no rows and ``tested`` false.
+    """
+    label = F.col(condition).cast("string")
+    samples = metadata.where(label.isin([str(ctrl), str(test)])).select("cell_type", "pseudobulk_id", (label == str(test)).alias("is_test"))
+    sizes = metadata.select("cell_type").distinct().join(
+        samples.groupBy("cell_type").agg(F.count_if(~F.col("is_test")).alias("n_ctrl"), F.count_if("is_test").alias("n_test")), "cell_type", "left"
+    ).na.fill(0, ["n_ctrl", "n_test"])
+    sizes = cut(sizes.withColumn("tested", F.least("n_ctrl", "n_test") >= min_samples))
+    samples = cut(samples.join(sizes.where("tested").drop("tested"), "cell_type"))
+    held = cut(counts.join(samples, "pseudobulk_id"))
+    often = F.count_if((F.col("count") >= min_count) & ~F.col("is_test")), F.count_if((F.col("count") >= min_count) & F.col("is_test"))
+    seen = held.groupBy("cell_type", "var_id").agg(often[0].alias("c"), often[1].alias("t"), F.sum("count").alias("total"), F.first(F.least("n_ctrl", "n_test")).alias("need"))
+    genes = cut(seen.where(((F.col("c") >= F.col("need")) | (F.col("t") >= F.col("need"))) & (F.col("total") >= min_total)).select("cell_type", "var_id"))
+    kept = held.join(genes, ["cell_type", "var_id"])
+    libs = kept.groupBy("pseudobulk_id").agg(F.sum("count").alias("lib"))
+    room = genes.groupBy("cell_type").agg(F.count(F.lit(1)).alias("n_genes"))
+    depth = F.coalesce(F.when(F.col("lib") > 0, F.col("lib")), F.lit(1.0)) + F.lit(prior) * F.col("n_genes")
+    cpm = lambda x: F.log2(x / F.col("depth") * F.lit(1e6))
+    level = cut(samples.join(libs, "pseudobulk_id", "left").join(room, "cell_type").select("cell_type", "pseudobulk_id", "is_test", depth.alias("depth")).withColumn("zero", cpm(F.lit(prior))))
+    z, y = F.col("zero"), cpm(F.col("count") + F.lit(prior))
+    split = lambda name, x: [F.coalesce(F.sum(F.when(F.col("is_test") == on, x)), F.lit(0.0)).alias(f"{name}{side}") for on, side in ((False, "c"), (True, "t"))]
+    base = level.groupBy("cell_type").agg(*split("z1", z), *split("z2", z * z))
+    sums = kept.drop("is_test").join(level.drop("cell_type"), "pseudobulk_id").groupBy("cell_type", "var_id").agg(*split("s1", y - z), *split("s2", y * y - z * z))
+    all_ = sums.join(base, "cell_type").join(sizes, "cell_type")
+    n = {"c": F.col("n_ctrl"), "t": F.col("n_test")}
+    one = {g: F.col(f"s1{g}") + F.col(f"z1{g}") for g in "ct"}
+    two = {g: F.col(f"s2{g}") + F.col(f"z2{g}") for g in "ct"}
+    mean = {g: one[g] / n[g] for g in "ct"}
+    var = {g: F.greatest(two[g] - one[g] * one[g] / n[g], F.lit(0.0)) / F.greatest(n[g] - 1, F.lit(1)) for g in "ct"}
+    stats = welch_columns(mean["t"], var["t"], n["t"], mean["c"], var["c"], n["c"])
+    table = all_.select(
+        "cell_type", F.col("var_id").alias("gene"), (mean["t"] - mean["c"]).alias("logFC"), ((one["c"] + one["t"]) / (n["c"] + n["t"])).alias("logCPM"),
+        stats["t"].alias("t"), stats["df"].alias("df"),
+    )
+    return table, sizes
+
+
 def compare_contrasts(candidate: DataFrame, reference: DataFrame, score: str = "PValue", top_n: int = 100) -> DataFrame:
     """Rank correlation of logFC, top-n overlap and sign agreement of two result tables."""
     cand = candidate.select("gene", F.col("logFC").alias("a"), F.col(score).alias("pa"))

@@ -225,3 +225,39 @@ def trend(m):
 @query("d05_nb_wald")
 def nb_wald(m):
     return nbglm.nb_wald(*pairs(m), "condition", "1-URGENT", "5-LOW")
+
+
+BY_TYPE = [
+    *BULK,
+    "smp AS (SELECT cell_type, pseudobulk_id, condition = '5-LOW' AS is_test FROM meta WHERE condition IN ('1-URGENT', '5-LOW'))",
+    "n AS (SELECT cell_type, count(*) FILTER (NOT is_test) AS n0, count(*) FILTER (is_test) AS n1 FROM smp GROUP BY 1 HAVING least(n0, n1) >= 2)",
+    "kept AS (SELECT cell_type, var_id FROM cnt JOIN smp USING (pseudobulk_id) JOIN n USING (cell_type) GROUP BY cell_type, var_id, n0, n1 "
+    "HAVING (count(*) FILTER (count >= 10 AND NOT is_test) >= least(n0, n1) OR count(*) FILTER (count >= 10 AND is_test) >= least(n0, n1)) AND sum(count) >= 15)",
+    "grid AS (SELECT cell_type, pseudobulk_id, is_test, var_id, coalesce(count, 0.0) AS count FROM smp JOIN kept USING (cell_type) LEFT JOIN cnt USING (pseudobulk_id, var_id))",
+    "lib AS (SELECT pseudobulk_id, CASE WHEN sum(count) > 0 THEN sum(count) ELSE 1.0 END AS lib, count(*) AS g FROM grid GROUP BY 1)",
+    "cpm AS (SELECT cell_type, is_test, var_id, log2((count + 0.5) / (lib + 0.5 * g) * 1000000.0) AS y FROM grid JOIN lib USING (pseudobulk_id))",
+    "wm AS (SELECT cell_type, var_id AS gene, avg(y) FILTER (is_test) AS mt, avg(y) FILTER (NOT is_test) AS mc, avg(y) AS logCPM, "
+    "var_samp(y) FILTER (is_test) / n1 AS a, var_samp(y) FILTER (NOT is_test) / n0 AS b, n0, n1 FROM cpm JOIN n USING (cell_type) GROUP BY cell_type, var_id, n0, n1)",
+]
+
+
+@query(
+    "d15_contrast_by_type",
+    with_ctes(
+        *BY_TYPE,
+        "SELECT cell_type, gene, round(mt - mc, 5) AS logFC, round(logCPM, 5) AS logCPM, round((mt - mc) / sqrt(a + b), 5) AS t, "
+        "round((a + b) * (a + b) / (a * a / (n1 - 1) + b * b / (n0 - 1)), 5) AS df FROM wm",
+    ),
+)
+def by_type(m):
+    """All cell types in one job."""
+    bulk = pb.pseudobulk(cells(m), order_expr(m))
+    table, _ = pb.welch_by_type(bulk.counts, bulk.metadata, "condition", "1-URGENT", "5-LOW")
+    return table.select("cell_type", "gene", *[F.round(c, 5).alias(c) for c in ("logFC", "logCPM", "t", "df")])
+
+
+@query("contrast_run")
+def contrast_run(m):
+    from cytoframe.plans.workflows import run_contrast
+
+    return run_contrast(cells(m), order_expr(m), "1-URGENT", "5-LOW", method="welch")[0]
