@@ -18,10 +18,10 @@ ORACLE_SQL = None
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any letter go, and those whose language the model can't tell (score under one half)."""
+    """Documents whose language can't be told (no text, or no letter in it) go."""
     model = language_backoff.train(docs.where(~fold("doc_id", 4, 2)))
     told = language_backoff.identify(docs.select(*COLUMNS), model)
-    return told.where("lang_pred <> 'und' AND score >= 0.5").select(*COLUMNS)
+    return told.where("lang_pred <> 'und'").select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
