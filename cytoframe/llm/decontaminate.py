@@ -1,13 +1,13 @@
 """Benchmark decontamination: BM25 over an inverted index of test items, with block-max WAND.
 
-Test items (in pieces of at most ``PIECE`` words) form the index: per term postings in item
-order, cut in blocks that know their largest impact.  Impacts are BM25 parts divided by the
-piece's score for its own words, so that a score of 1 means the passage holds them all.
+Test items (in pieces of at most ``PIECE`` words) form the index: per term postings in piece
+order, cut in blocks of ``BLOCK`` pieces that know their largest impact.  Impacts are BM25
+parts divided by the piece's score for its own words, so that a score of 1 means the passage holds them all.
 Every document is cut in overlapping passages of twice the longest piece's length, so that
 each piece lies wholly within one passage; each passage is a query for all pieces of at
-least ``least`` score.  Upper bounds rule most passages out at once: one without an essential term, or
-whose bounds sum to less than ``least``, can't reach it.  For the others WAND moves between
-pivots and skips blocks whose maxima don't suffice.  The items so retrieved are then
+least ``least`` score.  Block maxima, summed per passage and block for a whole batch at once, rule out
+nearly all blocks: those that can't reach ``least`` even with what the most common terms can add.  In
+the others WAND moves from pivot to pivot by the block's maxima.  The items so retrieved are then
 verified on the whole document: 80 % or more of the five-word shingles both of the question
 (the words before the answer) and of the answer (its last third) must be there.
 
@@ -35,7 +35,8 @@ from cytoframe.llm.tokens import Words, shingles, slices
 
 U = np.uint64
 PIECE = 128
-BLOCK = 16
+BLOCK = 4
+COMMON = 0.1  # what the common terms, which block bounds leave out, can add to a score
 K1, B = 1.2, 0.75
 SHINGLE = 5
 OVERLAP = 0.8
@@ -84,105 +85,92 @@ class Index:
         self.piece, self.impact = self.piece[order], impact[order]
         self.bounds = np.concatenate([[0], np.cumsum(df)])
         self.most = np.maximum.reduceat(self.impact, self.bounds[:-1]) if len(self.terms) else np.zeros(0)
-        # terms whose bounds together stay under the threshold can't make a result by themselves
+        # the most common terms are left out of block bounds and allowed for as a whole
         by_size = np.argsort(self.most, kind="stable")
-        self.essential = np.ones(len(self.terms), bool)
-        self.essential[by_size[np.cumsum(self.most[by_size]) < least]] = False
-        self.blocks = {}
-        for t in range(len(self.terms)):
-            a, b = self.bounds[t], self.bounds[t + 1]
-            starts = np.arange(a, b, BLOCK)
-            self.blocks[t] = (self.piece[np.minimum(starts + BLOCK, b) - 1].tolist(), np.maximum.reduceat(self.impact, starts).tolist())
-        self.lists = [(self.piece[a:b].tolist(), self.impact[a:b].tolist()) for a, b in zip(self.bounds[:-1], self.bounds[1:], strict=True)]
+        self.rare = np.ones(len(self.terms), bool)
+        self.rare[by_size[np.cumsum(self.most[by_size]) <= COMMON]] = False
+        self.slack = float(self.most[~self.rare].sum())
+        # runs of postings of one term in one block
+        term_of = np.repeat(np.arange(len(self.terms)), df)
+        self.n_blocks = -(-len(pieces) // BLOCK)
+        run = term_of * max(1, self.n_blocks) + self.piece // BLOCK
+        first = np.flatnonzero(np.diff(run, prepend=-1))
+        self.run_start, self.run_end = first, np.append(first[1:], len(run))
+        self.run_name = run[first]
+        self.run_block = run[first] % max(1, self.n_blocks)
+        self.run_most = np.maximum.reduceat(self.impact, first) if len(first) else np.zeros(0)
+        self.run_bounds = np.searchsorted(term_of[first], np.arange(len(self.terms) + 1))
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Term numbers of hashes, -1 for words of no item."""
         at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
         return np.where(self.terms[at] == h, at, -1)
 
-    def wand(self, terms: list[int]) -> list[tuple[int, float]]:
-        """All pieces whose score for these distinct terms is at least the threshold."""
+    def wand(self, terms: np.ndarray, block: int) -> list[tuple[int, float]]:
+        """The pieces of a block whose score for these distinct terms is at least the threshold."""
         least, out = self.least - 1e-9, []
-        heads = [[self.lists[t][0][0], 0, t] for t in terms]  # piece, place in the list, term
-        most, lists, blocks = self.most, self.lists, self.blocks
-
-        def forward(head: list, to: int) -> None:
-            pieces, i = lists[head[2]][0], head[1]
-            last = blocks[head[2]][0]
-            block = i // BLOCK
-            while block < len(last) and last[block] < to:
-                block += 1
-            i = max(i, block * BLOCK)
-            while i < len(pieces) and pieces[i] < to:
-                i += 1
-            head[0], head[1] = (pieces[i] if i < len(pieces) else DONE), i
-
+        name = terms * self.n_blocks + block
+        run = np.searchsorted(self.run_name, name)
+        run = run[(run < len(self.run_name)) & (self.run_name[np.minimum(run, len(self.run_name) - 1)] == name)]
+        lists = [(self.piece[a:b].tolist(), self.impact[a:b].tolist(), m) for a, b, m in zip(self.run_start[run], self.run_end[run], self.run_most[run], strict=True)]
+        heads = [[pieces[0], 0, pieces, impacts, most] for pieces, impacts, most in lists]  # piece, place, list
         while True:
-            heads.sort()
+            heads.sort(key=lambda head: head[0])
             bound, pivot = 0.0, -1
             for n, head in enumerate(heads):
-                if head[0] == DONE:
-                    break
-                bound += most[head[2]]
+                bound += head[4]
                 if bound >= least:
                     pivot = n
                     break
             if pivot < 0:
                 return out
             doc = heads[pivot][0]
-            while pivot + 1 < len(heads) and heads[pivot + 1][0] == doc:
-                pivot += 1
-            inside, ends = 0.0, DONE
-            for head in heads[: pivot + 1]:
-                last, high = blocks[head[2]]
-                block = head[1] // BLOCK
-                while block < len(last) and last[block] < doc:
-                    block += 1
-                if block < len(last):
-                    inside += high[block]
-                    ends = min(ends, last[block])
-            if inside < least:
-                to = ends + 1
-                if pivot + 1 < len(heads):
-                    to = min(to, heads[pivot + 1][0])
-                for head in heads[: pivot + 1]:
-                    if head[0] < max(to, doc + 1):
-                        forward(head, max(to, doc + 1))
-            elif heads[0][0] == doc:
-                score = sum(lists[head[2]][1][head[1]] for head in heads[: pivot + 1])
+            if heads[0][0] == doc:
+                score = sum(head[3][head[1]] for head in heads if head[0] == doc)
                 if score >= least:
                     out.append((doc, score))
-                for head in heads[: pivot + 1]:
-                    forward(head, doc + 1)
+                to = doc + 1
             else:
-                for head in heads[:pivot]:
-                    if head[0] < doc:
-                        forward(head, doc)
+                to = doc  # nothing before the pivot can reach the threshold
+            for head in heads:
+                if head[0] < to:
+                    at, pieces = head[1], head[2]
+                    while at < len(pieces) and pieces[at] < to:
+                        at += 1
+                    head[0], head[1] = (pieces[at] if at < len(pieces) else DONE), at
+            heads = [head for head in heads if head[0] < DONE]
 
     def search(self, words: Words) -> Iterator[tuple[int, int, float]]:
         """(text, item, best score) of all passages of a slice."""
         stride = max(32, self.longest)
         hit = self.find(words.hashes)
         at = np.flatnonzero(hit >= 0)
+        if not len(at):
+            return
         hit, owner = hit[at], words.owners()[at]
         cell = (at - words.bounds[owner]) // stride
-        if not self.essential[hit].any():
-            return
         # a passage is two cells: cell c lies in passages c - 1 and c
         span = int(cell.max()) + 2
         slot = np.concatenate([owner * span + cell, (owner * span + cell - 1)[cell > 0]])
         pair = np.unique(slot * len(self.terms) + np.concatenate([hit, hit[cell > 0]]))
         slot, hit = pair // len(self.terms), pair % len(self.terms)
-        names, begin = np.unique(slot, return_index=True)
+        names, begin, passage = np.unique(slot, return_index=True, return_inverse=True)
         ends = np.append(begin[1:], len(slot))
-        bound = np.add.reduceat(self.most[hit], begin)
-        able = np.add.reduceat(self.essential[hit].astype(np.int64), begin) > 0
+        rare = self.rare[hit]
+        passage, term = passage[rare], hit[rare]
         best: dict[tuple[int, int], float] = {}
-        for n in np.flatnonzero(able & (bound >= self.least - 1e-9)):
-            text, terms = int(names[n]) // span, hit[begin[n] : ends[n]]
-            for piece, score in self.wand(terms.tolist()):
-                key = (text, int(self.owners[piece]))
-                best[key] = max(best.get(key, 0.0), score)
+        step = max(1, 4_000_000 // self.n_blocks)
+        for low in range(0, len(names), step):
+            a, b = np.searchsorted(passage, [low, low + step])
+            n = (self.run_bounds[term[a:b] + 1] - self.run_bounds[term[a:b]])
+            run = np.repeat(self.run_bounds[term[a:b]] - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())
+            where = np.repeat(passage[a:b] - low, n) * self.n_blocks + self.run_block[run]
+            bound = np.bincount(where, self.run_most[run], minlength=1)
+            for found in np.flatnonzero(bound >= self.least - self.slack - 1e-9).tolist():
+                p, block = low + found // self.n_blocks, found % self.n_blocks
+                for piece, score in self.wand(hit[begin[p] : ends[p]], block):
+                    key = (int(names[p]) // span, int(self.owners[piece]))
+                    best[key] = max(best.get(key, 0.0), score)
         for (text, item), score in best.items():
             yield text, item, score
 
@@ -195,7 +183,7 @@ def _shingle_set(h: np.ndarray) -> np.ndarray:
     return np.unique(shingles(one, SHINGLE)[0])
 
 
-def matches(docs: DataFrame, items: DataFrame, least: float = 0.4, min_words: int = 15, shard_items: int = 20_000) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, least: float = 0.6, min_words: int = 15, shard_items: int = 20_000) -> DataFrame:
     """(doc_id, item_id, score, question, answer) of every row of ``docs`` and item it contains."""
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, score double, question double, answer double"

@@ -148,6 +148,6 @@ def test_wand_equals_scoring_everything():
         terms = sorted(rng.sample(range(len(index.terms)), 40))
         whole = score[terms].sum(axis=0)
         expected = {d: s for d, s in enumerate(whole) if s >= 0.3}
-        got = dict(index.wand(terms))
+        got = {d: s for block in range(index.n_blocks) for d, s in index.wand(np.array(terms), block)}
         assert got.keys() == expected.keys()
         assert all(abs(got[d] - s) < 1e-9 for d, s in expected.items())
