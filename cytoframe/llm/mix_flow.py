@@ -108,7 +108,8 @@ def _select(rows: DataFrame, quotas: DataFrame) -> DataFrame:
     """``extra`` (0 or 1) per row: seeded documents of each pattern whose sizes come near ``want``.
 
     Documents are taken in hash order while they fit; those that did not fit make way for
-    later ones that do, in a few rounds.  Sums over hash buckets find the one bucket of each
+    later ones that do, in a few rounds, and at last the smallest one left goes in if the sum comes
+    nearer so: what is missed or exceeded is at most half a document.  Sums over hash buckets find the one bucket of each
     pattern in which the quota runs out; buckets before it are taken whole, and only its rows are sorted.
     """
     buckets = max(BUCKETS, 16 * width(rows.sparkSession))
@@ -128,7 +129,13 @@ def _select(rows: DataFrame, quotas: DataFrame) -> DataFrame:
         at_end = told.where("open AND b = end").withColumn("upto", F.col("before") + F.sum("size").over(inside))
         rest = told.where("NOT open OR b <> end").withColumn("extra", F.when(F.col("open") & (F.col("b") < F.col("end")), 1).otherwise(F.col("extra")))
         rows = cut(rest.select(columns).union(at_end.withColumn("extra", (F.col("upto") <= F.col("left")).cast("int")).select(columns)))
-    return rows
+    # what no document fits into any more is rounded: the smallest one left goes in if that comes nearer
+    got = rows.groupBy("pattern").agg(F.sum(F.col("size") * F.col("extra")).alias("got"))
+    left = quotas.join(got, "pattern").select("pattern", (F.col("want") - F.col("got")).alias("left"))
+    same = rows.where("extra = 0 AND size > 0").groupBy("pattern", "size", "_id", "_t").agg(F.sum("size").alias("all"))
+    near = same.join(left, "pattern").where("all > left AND all < 2 * left").groupBy("pattern").agg(F.min(F.struct("all", "size", "_id", "_t")).alias("at"))
+    near = near.select("pattern", "at.size", "at._id", "at._t", F.lit(1).alias("more"))
+    return rows.join(near, ["pattern", "size", "_id", "_t"], "left").withColumn("extra", F.coalesce("more", "extra")).select(columns)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repeats: int = REPEATS, seed: int = 7) -> DataFrame:
