@@ -5,20 +5,24 @@ signature of ``POSITIONS`` minwise tokens.  Documents with equal sets are one no
 join from the start, so copies are never compared.
 
 1. *Trees.*  Each of ``trees`` independent trees branches all sets by one minwise token.
-2. *Stars.*  In every node the smallest (in odd trees the largest) member is compared with
-   all others: a linear number of pairs, which joins large groups of near copies at once.
-3. *Paths.*  Nodes that still hold members of different components branch on, each by one
-   or two further tokens (1.25 on average, the inverse of the similarity), until they have
-   at most ``small`` members or reach ``depth``; then members of different components are
-   compared exhaustively, except within the node's largest component.
-4. A pair is dropped early only if one-bit sketches of its tokens differ in more than
-   ``SKETCH_GAP`` of 64 places (expected at similarity 0.8: 6.4) or the sizes forbid the
-   similarity; all others are confirmed on the full shingle sets of the whole texts.
-
-A pair at the threshold shares the first token of a tree with probability 0.8, and with
-branching survives ``depth`` levels of a tree with probability above 0.4, so that 16 trees
-miss it with probability below 0.001; classes are missed less often still, as one link
-of several is enough.
+2. *Stars.*  In every node one member is compared with all others: a linear number of
+   pairs.  In a node of up to ``small`` members that is the smallest (in odd trees the largest), so that
+   trees agree; in a larger one it is any, so that each tree tries another and a large
+   group of near copies becomes one component even if many of its pairs are below the threshold.
+3. *Paths.*  Nodes that still hold members of different components are compared exhaustively
+   if at most ``small`` members are outside the node's largest component (pairs within a component
+   are left out, so their number stays linear); other nodes branch on, each by one or two
+   further tokens (1.25 on average, the inverse of the similarity).  A group of texts that are alike but
+   below the threshold thins out with each level.  What is left at ``depth`` is compared as it is.
+   Nodes are compared in blocks of at most 2 * ``small`` members, whose whole texts meet in one place.
+4. A pair is dropped early only if the sizes forbid the similarity, one-bit sketches differ in
+   more than ``SKETCH_GAP`` of 128 places (expected at similarity 0.8: 12.8), or (stars) fewer
+   than ``ALIKE`` tokens agree; all others are confirmed on the full shingle sets of the whole texts.
+
+A pair at the threshold shares the first token of a tree with probability 0.8, and as
+branching makes up for the losses, some path of a tree keeps it for ten levels with
+probability above 0.4, so that 16 trees miss it with probability below 0.001; classes are
+missed less often still, as one link of several is enough.
 
 Defined cases: a text without words (or null) has an empty set and is linked with nothing; a
 text of fewer than k words is one shingle; rows with a null doc_id get a null class, are
@@ -35,16 +39,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytoframe.llm import query
-from cytoframe.llm.common import row_key, table
+from cytoframe.llm.common import row_key, table, width
 from cytoframe.llm.tokens import mix, randoms, shingles, slices
 from cytoframe.session import cut
 
 U = np.uint64
-POSITIONS = 64
-SKETCH_GAP = 18
+POSITIONS = 128
+SKETCH_GAP = 28
+ALIKE = 84  # equal tokens of POSITIONS; expected at similarity 0.8: 102.4, deviation 4.5
 _A = (randoms(POSITIONS, 31) | U(1))[:, None]
 _B = randoms(POSITIONS, 37)[:, None]
-PROFILE = "doc_id long, _id long, _t long, n_shingles long, sid binary, bits long, sig binary"
+PROFILE = "doc_id long, _id long, _t long, n_shingles long, sid binary, bits long, more long, sig binary"
 
 
 def _distinct_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -66,23 +71,36 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
     """One row per document: set size, 128-bit name of the set, one-bit sketch and minwise signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = U(1) << np.arange(POSITIONS, dtype=U)
+        places = U(1) << np.arange(64, dtype=U)
         for batch in batches:
-            size, sid, bits, sig = [], [], [], []
+            size, sid, bits, more, sig = [], [], [], [], []
             for s in _distinct_sets(batch["text"], k):
                 size.append(len(s))
                 sid.append(np.array([mix(s).sum(dtype=U), mix(s ^ U(0x5BD1E995)).sum(dtype=U)], dtype=U).tobytes())
                 tokens = _signature(s)
-                bits.append(int(((tokens & U(1)) * places).sum(dtype=U).view(np.int64)))
+                bits.append(int(((tokens[:64] & U(1)) * places).sum(dtype=U).view(np.int64)))
+                more.append(int(((tokens[64:] & U(1)) * places).sum(dtype=U).view(np.int64)))
                 sig.append((tokens >> U(32)).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["_id"], batch["_t"], pa.array(size, pa.int64()), pa.array(sid, pa.binary()), pa.array(bits, pa.int64()), pa.array(sig, pa.binary())],
+                [batch["doc_id"], batch["_id"], batch["_t"], pa.array(size, pa.int64()), pa.array(sid, pa.binary()), pa.array(bits, pa.int64()), pa.array(more, pa.int64()), pa.array(sig, pa.binary())],
                 [x.split()[0] for x in PROFILE.split(", ")],
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[c.alias(n) for n, c in row_key().items()], "text").mapInArrow(run, PROFILE)
 
 
+def sift(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures agree in ``ALIKE`` tokens or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch[c].to_pylist()), "<u4").reshape(-1, POSITIONS) for c in ("sig_a", "sig_b"))
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array((one == two).sum(axis=1) >= ALIKE))
+
+    named = pairs.join(sets.select(F.col("sid").alias("a"), F.col("sig").alias("sig_a")), "a").join(sets.select(F.col("sid").alias("b"), F.col("sig").alias("sig_b")), "b")
+    return named.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary")
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
 
@@ -104,6 +122,110 @@ def confirm(pairs: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent
     return named.mapInArrow(run, "a binary, b binary").distinct()
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows that come sorted by ``g``, as tables of whole blocks with the blocks' bounds."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        g = rows["g"].to_numpy()
+        edges = np.flatnonzero(np.diff(g)) + 1
+        if len(edges):
+            yield rows.slice(0, edges[-1]), np.concatenate([[0], edges])
+            rest = rows.slice(edges[-1])
+        else:
+            rest = rows
+    if rest is not None and rest.num_rows:
+        yield rest, np.array([0, rest.num_rows])
+
+
+def _codes(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+
+
+def _may_link(percent: int):
+    """Keep the members of a block that have a possible partner of another component."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in _blocks(batches):
+            n, bits, more = (rows[c].to_numpy() for c in ("n", "bits", "more"))
+            bits, more, comp = bits.view(U), more.view(U), _codes(rows["comp"])
+            keep = np.zeros(rows.num_rows, bool)
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                m, x, y, c = n[a:b], bits[a:b], more[a:b], comp[a:b]
+                gap = np.bitwise_count(x[:, None] ^ x).astype(np.int16) + np.bitwise_count(y[:, None] ^ y)
+                may = (gap <= SKETCH_GAP) & (c[:, None] != c) & (100 * np.minimum(m[:, None], m) >= percent * np.maximum(m[:, None], m))
+                keep[a:b] = may.any(axis=1)
+            for batch in rows.select(["g", "sid", "comp"]).filter(pa.array(keep)).to_batches():
+                yield batch
+
+    return run
+
+
+def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, by products of 0/1 matrices over the shingles that two sets share."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    place = np.cumsum(count > 1) - 1
+    twice = count[column] > 1
+    owner, column = owner[twice], place[column[twice]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 8192):
+        a, b = np.searchsorted(column, [low, low + 8192])
+        block = np.zeros((len(sets), 8192), np.float32)
+        block[owner[a:b], column[a:b] - low] = 1
+        total += block @ block.T
+    return np.rint(total).astype(np.int64)
+
+
+def _link(k: int, percent: int):
+    """Links of a block between components, confirmed on full sets; enough of them to span what they connect."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in _blocks(batches):
+            comp, sids, one, two = _codes(rows["comp"]), rows["sid"].combine_chunks(), [], []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                sets = list(_distinct_sets(rows["text"].slice(a, b - a), k))
+                size = np.array([len(s) for s in sets])
+                both = _shared_counts(sets)
+                linked = 100 * both >= percent * (size[:, None] + size - both)
+                root = {c: c for c in comp[a:b].tolist()}
+
+                def find(c: int) -> int:
+                    while root[c] != c:  # noqa: B023
+                        c = root[c]  # noqa: B023
+                    return c
+
+                for i, j in np.argwhere(np.triu(linked, 1) & (comp[a:b, None] != comp[a:b])):
+                    x, y = find(int(comp[a + i])), find(int(comp[a + j]))
+                    if x != y:
+                        root[x] = y
+                        one.append(a + i)
+                        two.append(a + j)
+            yield pa.RecordBatch.from_arrays([sids.take(pa.array(one, pa.int64())), sids.take(pa.array(two, pa.int64()))], ["a", "b"])
+
+    return run
+
+
+def compare_nodes(leaf: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent: int, small: int) -> DataFrame:
+    """Links (a, b) between the components of each node; leaf: node, sid, n, bits, more, comp, main, size, outside.
+
+    The members outside the main component meet every block of the main one; where they are
+    too many for one block (at the last level), all blocks meet one another.
+    """
+    blocks = F.ceil(F.when(F.col("outside") <= small, F.col("size") - F.col("outside")).otherwise(F.col("size")) / small)
+    mine = F.pmod(F.xxhash64("sid"), blocks)
+    every = F.sequence(F.lit(0).cast("long"), blocks - 1)
+    met = F.when(F.col("outside") > small, F.transform(every, lambda x: F.xxhash64("node", F.least(x, mine), F.greatest(x, mine))))
+    met = met.when(F.col("comp") != F.col("main"), F.transform(every, lambda x: F.xxhash64("node", x))).otherwise(F.array(F.xxhash64("node", mine)))
+    dealt = leaf.select(F.explode(met).alias("g"), "sid", "n", "bits", "more", "comp")
+    n = width(leaf.sparkSession)
+    able = dealt.repartition(n, "g").sortWithinPartitions("g").mapInArrow(_may_link(percent), "g long, sid binary, comp binary")
+    able = cut(able)
+    named = able.join(sets.select("sid", "_id", "_t"), "sid").join(texts, ["_id", "_t"]).select("g", "sid", "comp", "text")
+    return named.repartition(n, "g").sortWithinPartitions("g", "sid").mapInArrow(_link(k, percent), "a binary, b binary")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(sid, comp) for every end of a link, by alternating large-star and small-star rounds."""
 
@@ -129,62 +251,58 @@ def components(links: DataFrame) -> DataFrame:
 
 def _near(a: str, b: str, percent: int) -> Column:
     sizes = 100 * F.least(f"{a}n", f"{b}n") >= percent * F.greatest(f"{a}n", f"{b}n")
-    return sizes & (F.bit_count(F.col(f"{a}bits").bitwiseXOR(F.col(f"{b}bits"))) <= SKETCH_GAP)
+    gap = sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in ("bits", "more")), F.lit(0))
+    return sizes & (gap <= SKETCH_GAP)
 
 
 def _token(at: Column) -> Column:
     return F.call_function("substring", F.col("sig"), at * 4 + 1, F.lit(4))
 
 
-def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 16, depth: int = 5, small: int = 48) -> DataFrame:
-    """(doc_id, _id, _t, n_shingles, component_id, n_links) for every row of ``docs`` (doc_id, text)."""
+def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 16, depth: int = 24, small: int = 64) -> DataFrame:
+    """(doc_id, _id, _t, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     rows = cut(profile(docs, k))
     texts = docs.select(*[c.alias(n) for n, c in row_key().items()], "text")
     named = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    sets = cut(named.groupBy("sid").agg(F.min(F.struct("doc_id", "_id", "_t")).alias("at"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("sig").alias("sig")).select("sid", "at.*", "n", "bits", "sig"))
+    sets = cut(named.groupBy("sid").agg(F.min(F.struct("doc_id", "_id", "_t")).alias("at"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("more").alias("more"), F.first("sig").alias("sig")).select("sid", "at.*", "n", "bits", "more", "sig"))
 
-    member = F.struct("sid", "n", "bits")
+    member = F.struct("sid", "n", "bits", "more")
     roots = F.array(*[F.struct((F.xxhash64(F.lit(t), _token(F.lit(t * POSITIONS // trees))).bitwiseAND(F.lit(-2)) + (t % 2)).alias("node"), member.alias("m")) for t in range(trees)])
     level = sets.select(F.explode(roots).alias("x")).select("x.node", "x.m")
-    crowd = level.groupBy("node").agg(F.min("m").alias("low"), F.max("m").alias("high"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    level = cut(level.join(crowd, "node").select("node", "size", F.when(F.col("node") % 2 == 0, F.col("low")).otherwise(F.col("high")).alias("p"), "m"))
+    crowd = level.groupBy("node").agg(F.min("m").alias("low"), F.max("m").alias("high"), F.min(F.struct(F.xxhash64("node", "m.sid").alias("order"), "m")).alias("any"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    centre = F.when(F.col("size") > small, F.col("any.m")).when(F.col("node") % 2 == 0, F.col("low")).otherwise(F.col("high"))
+    level = cut(level.join(crowd, "node").select("node", "size", centre.alias("p"), "m"))
     stars = level.where(F.col("p.sid") != F.col("m.sid")).where(_near("p.", "m.", percent))
-    stars = cut(stars.select(F.least("p.sid", "m.sid").alias("a"), F.greatest("p.sid", "m.sid").alias("b")).distinct())
+    stars = cut(sift(stars.select(F.least("p.sid", "m.sid").alias("a"), F.greatest("p.sid", "m.sid").alias("b")).distinct(), sets))
     links = cut(confirm(stars, texts, sets, k, percent))
     comps = components(links)
 
     level = level.where("size > 2").select("node", "m.*").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    found = []
+    leaves = []
     for step in range(depth):
-        crowd = level.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("node", "size")
+        shares = level.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"))
+        crowd = shares.groupBy("node").agg(F.sum("c").alias("size"), (F.sum("c") - F.max("c")).alias("outside"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("outside > 0")
         level = cut(level.join(crowd, "node"))
-        last = step == depth - 1
-        leaf = level if last else level.where(F.col("size") <= small)
-        shares = leaf.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"))
-        main = shares.groupBy("node").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
-        minor = leaf.join(main, "node").where("comp <> main").select("node", *[F.col(c).alias(f"x_{c}") for c in ("sid", "n", "bits", "comp")])
-        full = leaf.join(main, "node").select("node", "main", *[F.col(c).alias(f"y_{c}") for c in ("sid", "n", "bits", "comp")])
-        met = minor.join(full, "node").where((F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("main")) | (F.col("x_sid") < F.col("y_sid"))) & _near("x_", "y_", percent))
-        found.append(met.select(F.least("x_sid", "y_sid").alias("a"), F.greatest("x_sid", "y_sid").alias("b")))
+        large = level.where(F.col("outside") > small)
+        last = step == depth - 1 or large.isEmpty()
+        leaves.append(level if last else level.where(F.col("outside") <= small))
         if last:
             break
         turn = lambda b: F.pmod(F.xxhash64("node", F.lit(b)), F.lit(POSITIONS)).cast("int")
         child = lambda b: F.xxhash64(F.col("node"), F.lit(b), _token(turn(b)))
         branch = F.when(F.pmod(F.xxhash64("node"), F.lit(4)) == 0, F.array(child(1), child(2))).otherwise(F.array(child(1)))
-        level = level.where(F.col("size") > small).join(sets.select("sid", "sig"), "sid").select(F.explode(branch).alias("node"), "sid", "n", "bits", "comp")
-    more = found[0]
-    for x in found[1:]:
-        more = more.union(x)
-    more = cut(more.distinct().join(stars, ["a", "b"], "left_anti"))
-    links = cut(links.union(confirm(more, texts, sets, k, percent)))
+        level = large.join(sets.select("sid", "sig"), "sid").select(F.explode(branch).alias("node"), "sid", "n", "bits", "more", "comp")
+    leaf = leaves[0]
+    for x in leaves[1:]:
+        leaf = leaf.unionByName(x)
+    links = cut(links.union(compare_nodes(leaf, texts, sets, k, percent, small)))
     comps = components(links)
 
     named = sets.select("sid", "doc_id").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     lowest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("sid")).agg(F.count(F.lit(1)).alias("n_links"))
-    named = named.join(lowest, "comp").join(degree, "sid", "left").select("sid", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    own = rows.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "_id", "_t", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    linked = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").join(named, "sid").select("doc_id", "_id", "_t", "n_shingles", "component_id", "n_links")
+    named = named.join(lowest, "comp").select("sid", "component_id")
+    own = rows.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "_id", "_t", "n_shingles", F.col("doc_id").alias("component_id"))
+    linked = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").join(named, "sid").select("doc_id", "_id", "_t", "n_shingles", "component_id")
     return linked.union(own)
 
 
