@@ -11,8 +11,8 @@ join from the start, so copies are never compared.
    group of near copies becomes one component even if many of its pairs are below the threshold.
 3. *Paths.*  Nodes that still hold members of different components are compared exhaustively
    if at most ``small`` members are outside the node's largest component (pairs within a component
-   are left out, so their number stays linear); other nodes branch on, each by one or two
-   further tokens (1.25 on average, the inverse of the similarity).  A group of texts that are alike but
+   are left out, so their number stays linear); other nodes branch on, two tokens a round, each
+   time into one child or two (1.25 on average, the inverse of the similarity).  A group of texts that are alike but
    below the threshold thins out with each level.  What is left at ``depth`` is compared as it is.
    Nodes are compared in blocks of at most 2 * ``small`` members, whose whole texts meet in one place.
 4. A pair is dropped early only if the sizes forbid the similarity, one-bit sketches differ in
@@ -144,19 +144,25 @@ def _codes(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _may_link(percent: int):
-    """Keep the members of a block that have a possible partner of another component."""
+    """Keep the members of a block that have a possible partner of another component.
+
+    A block is renamed after the members it keeps, as trees often meet the same group again.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, bounds in _blocks(batches):
             n, bits, more = (rows[c].to_numpy() for c in ("n", "bits", "more"))
             bits, more, comp = bits.view(U), more.view(U), _codes(rows["comp"])
-            keep = np.zeros(rows.num_rows, bool)
+            keep, names = np.zeros(rows.num_rows, bool), np.zeros(rows.num_rows, np.int64)
+            sids = np.frombuffer(b"".join(rows["sid"].to_pylist()), U).reshape(-1, 2)
+            sids = mix(sids[:, 0] ^ mix(sids[:, 1]))
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 m, x, y, c = n[a:b], bits[a:b], more[a:b], comp[a:b]
                 gap = np.bitwise_count(x[:, None] ^ x).astype(np.int16) + np.bitwise_count(y[:, None] ^ y)
                 may = (gap <= SKETCH_GAP) & (c[:, None] != c) & (100 * np.minimum(m[:, None], m) >= percent * np.maximum(m[:, None], m))
                 keep[a:b] = may.any(axis=1)
-            for batch in rows.select(["g", "sid", "comp"]).filter(pa.array(keep)).to_batches():
-                yield batch
+                names[a:b] = mix(sids[a:b][keep[a:b]].sum(dtype=U, keepdims=True)).view(np.int64)[0]
+            named = pa.table({"g": names, "sid": rows["sid"], "comp": rows["comp"]})
+            yield from named.filter(pa.array(keep)).to_batches()
 
     return run
 
@@ -221,7 +227,7 @@ def compare_nodes(leaf: DataFrame, texts: DataFrame, sets: DataFrame, k: int, pe
     dealt = leaf.select(F.explode(met).alias("g"), "sid", "n", "bits", "more", "comp")
     n = width(leaf.sparkSession)
     able = dealt.repartition(n, "g").sortWithinPartitions("g").mapInArrow(_may_link(percent), "g long, sid binary, comp binary")
-    able = cut(able)
+    able = cut(able.distinct())
     named = able.join(sets.select("sid", "_id", "_t"), "sid").join(texts, ["_id", "_t"]).select("g", "sid", "comp", "text")
     return named.repartition(n, "g").sortWithinPartitions("g", "sid").mapInArrow(_link(k, percent), "a binary, b binary")
 
@@ -259,7 +265,15 @@ def _token(at: Column) -> Column:
     return F.call_function("substring", F.col("sig"), at * 4 + 1, F.lit(4))
 
 
-def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 16, depth: int = 24, small: int = 64) -> DataFrame:
+def _branch(level: DataFrame) -> DataFrame:
+    """The children of every node: one, or for a quarter of the nodes two, each by a token of its own."""
+    turn = lambda b: F.pmod(F.xxhash64("node", F.lit(b)), F.lit(POSITIONS)).cast("int")
+    child = lambda b: F.xxhash64(F.col("node"), F.lit(b), _token(turn(b)))
+    children = F.when(F.pmod(F.xxhash64("node"), F.lit(4)) == 0, F.array(child(1), child(2))).otherwise(F.array(child(1)))
+    return level.select(F.explode(children).alias("_child"), "*").drop("node").withColumnRenamed("_child", "node")
+
+
+def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 16, depth: int = 12, small: int = 64) -> DataFrame:
     """(doc_id, _id, _t, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     rows = cut(profile(docs, k))
     texts = docs.select(*[c.alias(n) for n, c in row_key().items()], "text")
@@ -288,10 +302,7 @@ def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
         leaves.append(level if last else level.where(F.col("outside") <= small))
         if last:
             break
-        turn = lambda b: F.pmod(F.xxhash64("node", F.lit(b)), F.lit(POSITIONS)).cast("int")
-        child = lambda b: F.xxhash64(F.col("node"), F.lit(b), _token(turn(b)))
-        branch = F.when(F.pmod(F.xxhash64("node"), F.lit(4)) == 0, F.array(child(1), child(2))).otherwise(F.array(child(1)))
-        level = large.join(sets.select("sid", "sig"), "sid").select(F.explode(branch).alias("node"), "sid", "n", "bits", "more", "comp")
+        level = _branch(_branch(large.join(sets.select("sid", "sig"), "sid"))).drop("sig", "main", "size", "outside")
     leaf = leaves[0]
     for x in leaves[1:]:
         leaf = leaf.unionByName(x)
