@@ -136,7 +136,9 @@ class Model:
 def train(docs: DataFrame, docs_per_lang: int = 3000, max_words: int = 400_000, max_grams: int = 100_000) -> Model | None:
     """Fit on a documented sample: each language's documents are kept with probability docs_per_lang / their number."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    # one row per language, as many as the model has columns; so the sample is drawn where the texts are read
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = docs.sparkSession.createDataFrame(sizes.collect(), sizes.schema)
     chance = (F.xxhash64(F.col("doc_id"), F.lit("sample")).bitwiseAND(F.lit((1 << 30) - 1))) / float(1 << 30)
     sample = known.select("doc_id", "lang", "text").join(sizes, "lang").where(chance * F.col("_n") < docs_per_lang)
     counts = sample.select("lang", "text").mapInArrow(_count, "lang string, k int, h long, n long").groupBy("lang", "k", "h").agg(F.sum("n").alias("n"))
