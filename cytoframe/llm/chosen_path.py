@@ -9,20 +9,23 @@ join from the start, so copies are never compared.
    pairs.  In a node of up to ``small`` members that is the smallest (in odd trees the largest), so that
    trees agree; in a larger one it is any, so that each tree tries another and a large
    group of near copies becomes one component even if many of its pairs are below the threshold.
-3. *Paths.*  Nodes that still hold members of different components are compared exhaustively
+3. *Nodes.*  A node that still holds members of different components is compared exhaustively
    if at most ``small`` members are outside the node's largest component (pairs within a component
-   are left out, so their number stays linear); other nodes branch on, two tokens a round, each
-   time into one child or two (1.25 on average, the inverse of the similarity).  A group of texts that are alike but
-   below the threshold thins out with each level.  What is left at ``depth`` is compared as it is.
-   Nodes are compared in blocks of at most 2 * ``small`` members, whose whole texts meet in one place.
-4. A pair is dropped early only if the sizes forbid the similarity, one-bit sketches differ in
+   are left out, so their number stays linear).
+4. *Crowds.*  All members of the other nodes meet in an exact join: two sets of the
+   similarity share one of the n - ceil(0.8 n) + 1 first shingles of each, in any order that is the
+   same for all sets.  The order puts rare shingles first (counts of the crowd in ``SLOTS`` hashed
+   places), so that texts that share a passage only don't meet.  Members of different components that
+   share such a shingle are a node again; a node with more than ``small`` members outside its
+   largest component is compared as it is, in blocks of ``HEAP``.
+   Nodes are compared in blocks, whose whole texts meet in one place.
+5. A pair is dropped early only if the sizes forbid the similarity, one-bit sketches differ in
    more than ``SKETCH_GAP`` of 128 places (expected at similarity 0.8: 12.8), or (stars) fewer
    than ``ALIKE`` tokens agree; all others are confirmed on the full shingle sets of the whole texts.
 
-A pair at the threshold shares the first token of a tree with probability 0.8, and as
-branching makes up for the losses, some path of a tree keeps it for ten levels with
-probability above 0.4, so that 16 trees miss it with probability below 0.001; classes are
-missed less often still, as one link of several is enough.
+A pair at the threshold shares the first token of a tree with probability 0.8, so that none of 16
+trees has it in a node with probability 0.2 ** 16; whatever is in one node is either compared or joined exactly.
+The sketch gap of 5. (4.5 deviations) and ``ALIKE`` lose fewer than one in 10,000, of stars only for ``ALIKE``.
 
 Defined cases: a text without words (or null) has an empty set and is linked with nothing; a
 text of fewer than k words is one shingle; rows with a null doc_id get a null class, are
@@ -46,6 +49,8 @@ from cytoframe.session import cut
 U = np.uint64
 POSITIONS = 128
 SKETCH_GAP = 28
+SLOTS = 1 << 18
+HEAP = 512
 ALIKE = 84  # equal tokens of POSITIONS; expected at similarity 0.8: 102.4, deviation 4.5
 _A = (randoms(POSITIONS, 31) | U(1))[:, None]
 _B = randoms(POSITIONS, 37)[:, None]
@@ -217,9 +222,9 @@ def compare_nodes(leaf: DataFrame, texts: DataFrame, sets: DataFrame, k: int, pe
     """Links (a, b) between the components of each node; leaf: node, sid, n, bits, more, comp, main, size, outside.
 
     The members outside the main component meet every block of the main one; where they are
-    too many for one block (at the last level), all blocks meet one another.
+    too many for one block, all blocks meet one another.
     """
-    blocks = F.ceil(F.when(F.col("outside") <= small, F.col("size") - F.col("outside")).otherwise(F.col("size")) / small)
+    blocks = F.when(F.col("outside") <= small, F.ceil((F.col("size") - F.col("outside")) / small)).otherwise(F.ceil(F.col("size") / HEAP))
     mine = F.pmod(F.xxhash64("sid"), blocks)
     every = F.sequence(F.lit(0).cast("long"), blocks - 1)
     met = F.when(F.col("outside") > small, F.transform(every, lambda x: F.xxhash64("node", F.least(x, mine), F.greatest(x, mine))))
@@ -265,15 +270,51 @@ def _token(at: Column) -> Column:
     return F.call_function("substring", F.col("sig"), at * 4 + 1, F.lit(4))
 
 
-def _branch(level: DataFrame) -> DataFrame:
-    """The children of every node: one, or for a quarter of the nodes two, each by a token of its own."""
-    turn = lambda b: F.pmod(F.xxhash64("node", F.lit(b)), F.lit(POSITIONS)).cast("int")
-    child = lambda b: F.xxhash64(F.col("node"), F.lit(b), _token(turn(b)))
-    children = F.when(F.pmod(F.xxhash64("node"), F.lit(4)) == 0, F.array(child(1), child(2))).otherwise(F.array(child(1)))
-    return level.select(F.explode(children).alias("_child"), "*").drop("node").withColumnRenamed("_child", "node")
+def _crowds(level: DataFrame) -> DataFrame:
+    """The members of nodes that hold more than one component, with the node's largest one, size and rest."""
+    shares = level.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"))
+    crowd = shares.groupBy("node").agg(F.sum("c").alias("size"), (F.sum("c") - F.max("c")).alias("outside"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("outside > 0")
+    return level.join(crowd, "node")
 
 
-def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 16, depth: int = 12, small: int = 64) -> DataFrame:
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> U(46)).astype(np.int64)  # the upper bits of 64, SLOTS values
+
+
+def rare_nodes(members: DataFrame, k: int, percent: int) -> DataFrame:
+    """One node per shingle for the members (sid, n, bits, more, comp, text) that have it among their first ones."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for s in _distinct_sets(batch["text"], k):
+                np.add.at(total, _slot(mix(s)), 1)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["slot", "c"])
+
+    counts = members.select("text").mapInArrow(count, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toPandas()
+    often = np.zeros(SLOTS, np.int64)
+    often[counts["slot"].to_numpy(np.int64)] = counts["c"].to_numpy(np.int64)
+    sent = members.sparkSession.sparkContext.broadcast(often)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = sent.value
+        for batch in batches:
+            nodes, owner = [], []
+            for i, s in enumerate(_distinct_sets(batch["text"], k)):
+                names = mix(s)
+                n = len(s) + (-percent * len(s)) // 100 + 1  # all but as many as a partner must share, and one
+                nodes.append(names[np.lexsort((names, often[_slot(names)]))[:n]].view(np.int64))
+                owner.append(np.full(len(nodes[-1]), i))
+            at = pa.array(np.concatenate(owner) if owner else np.zeros(0, np.int64))
+            names = pa.array(np.concatenate(nodes) if nodes else np.zeros(0, np.int64))
+            columns = ["sid", "n", "bits", "more", "comp"]
+            yield pa.RecordBatch.from_arrays([names, *(batch[c].take(at) for c in columns)], ["node", *columns])
+
+    return members.mapInArrow(first, "node long, sid binary, n long, bits long, more long, comp binary")
+
+
+def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 16, small: int = 64) -> DataFrame:
     """(doc_id, _id, _t, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     rows = cut(profile(docs, k))
     texts = docs.select(*[c.alias(n) for n, c in row_key().items()], "text")
@@ -292,20 +333,13 @@ def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
     comps = components(links)
 
     level = level.where("size > 2").select("node", "m.*").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    leaves = []
-    for step in range(depth):
-        shares = level.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"))
-        crowd = shares.groupBy("node").agg(F.sum("c").alias("size"), (F.sum("c") - F.max("c")).alias("outside"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("outside > 0")
-        level = cut(level.join(crowd, "node"))
-        large = level.where(F.col("outside") > small)
-        last = step == depth - 1 or large.isEmpty()
-        leaves.append(level if last else level.where(F.col("outside") <= small))
-        if last:
-            break
-        level = _branch(_branch(large.join(sets.select("sid", "sig"), "sid"))).drop("sig", "main", "size", "outside")
-    leaf = leaves[0]
-    for x in leaves[1:]:
-        leaf = leaf.unionByName(x)
+    level = cut(_crowds(level))
+    leaf = level.where(F.col("outside") <= small)
+    crowd = level.where(F.col("outside") > small)
+    if not crowd.isEmpty():
+        crowd = crowd.select("sid", "n", "bits", "more", "comp").distinct().join(sets.select("sid", "_id", "_t"), "sid")
+        crowd = cut(crowd.join(texts, ["_id", "_t"]).select("sid", "n", "bits", "more", "comp", "text"))
+        leaf = leaf.unionByName(cut(_crowds(cut(rare_nodes(crowd, k, percent)))))
     links = cut(links.union(compare_nodes(leaf, texts, sets, k, percent, small)))
     comps = components(links)
 

@@ -151,3 +151,32 @@ def test_wand_equals_scoring_everything():
         got = {d: s for block in range(index.n_blocks) for d, s in index.wand(np.array(terms), block)}
         assert got.keys() == expected.keys()
         assert all(abs(got[d] - s) < 1e-9 for d, s in expected.items())
+
+
+def test_crowd_around_the_threshold_against_brute_force(spark):
+    """A large group just below 0.8; single links at 0.8 stand in nodes of several hundred other texts."""
+    rng = random.Random(12)
+    base = words(rng, 200)
+    rows = []
+    for i in range(500):
+        text = edited(rng, base, 4)
+        rows.append((2 * i, text))
+        if i % 3 == 0:
+            rows.append((10_000 + i, edited(rng, text, 5)))
+    names = {}
+    sets = [np.array([names.setdefault(x, len(names)) for x in shingle_set(r[1], 4)]) for r in rows]
+    has = np.zeros((len(rows), len(names)), np.float32)
+    for i, s in enumerate(sets):
+        has[i, s] = 1
+    both = np.rint(has @ has.T)
+    size = has.sum(axis=1)
+    near = 100 * both >= 80 * (size[:, None] + size - both)
+    low = np.array([r[0] for r in rows])
+    while True:
+        now = np.where(near, low, low.max()).min(axis=1)
+        if (now == low).all():
+            break
+        low = now
+    assert len(set(low)) > 50
+    got = chosen_path.similar_classes(documents(spark, rows).select("doc_id", "text"), k=4, small=16)
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == sorted(zip([r[0] for r in rows], low.tolist()))
