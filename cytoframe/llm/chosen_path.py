@@ -106,6 +106,12 @@ def sift(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return named.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary")
 
 
+def texts_of(named: DataFrame, texts: DataFrame) -> DataFrame:
+    """``named`` (with ``_id`` and ``_t``) with its text, once however often ``texts`` repeats the row."""
+    wanted = texts.join(named.select("_id", "_t").distinct(), ["_id", "_t"], "left_semi")
+    return named.join(wanted.dropDuplicates(["_id", "_t"]), ["_id", "_t"])
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
 
@@ -121,9 +127,9 @@ def confirm(pairs: DataFrame, texts: DataFrame, sets: DataFrame, k: int, percent
 
     places = sets.select("sid", "_id", "_t")
     named = pairs.join(places.select(F.col("sid").alias("b"), "_id", "_t"), "b")
-    named = named.join(texts.withColumnRenamed("text", "text_b"), ["_id", "_t"]).select("a", "b", "text_b")
+    named = texts_of(named, texts).select("a", "b", F.col("text").alias("text_b"))
     named = named.join(places.select(F.col("sid").alias("a"), "_id", "_t"), "a")
-    named = named.join(texts.withColumnRenamed("text", "text_a"), ["_id", "_t"]).select("a", "b", "text_a", "text_b")
+    named = texts_of(named, texts).select("a", "b", F.col("text").alias("text_a"), "text_b")
     return named.mapInArrow(run, "a binary, b binary").distinct()
 
 
@@ -233,7 +239,7 @@ def compare_nodes(leaf: DataFrame, texts: DataFrame, sets: DataFrame, k: int, pe
     n = width(leaf.sparkSession)
     able = dealt.repartition(n, "g").sortWithinPartitions("g").mapInArrow(_may_link(percent), "g long, sid binary, comp binary")
     able = cut(able.distinct())
-    named = able.join(sets.select("sid", "_id", "_t"), "sid").join(texts, ["_id", "_t"]).select("g", "sid", "comp", "text")
+    named = texts_of(able.join(sets.select("sid", "_id", "_t"), "sid"), texts).select("g", "sid", "comp", "text")
     return named.repartition(n, "g").sortWithinPartitions("g", "sid").mapInArrow(_link(k, percent), "a binary, b binary")
 
 
@@ -315,7 +321,11 @@ def rare_nodes(members: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 16, small: int = 64) -> DataFrame:
-    """(doc_id, _id, _t, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+    """(doc_id, _id, _t, n_shingles, comp, component_id) for every row of ``docs`` (doc_id, text).
+
+    ``comp`` names the class; ``component_id`` is its smallest doc_id, which two classes have in
+    common if the doc_id occurs with different texts.
+    """
     rows = cut(profile(docs, k))
     texts = docs.select(*[c.alias(n) for n, c in row_key().items()], "text")
     named = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -338,22 +348,22 @@ def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
     crowd = level.where(F.col("outside") > small)
     if not crowd.isEmpty():
         crowd = crowd.select("sid", "n", "bits", "more", "comp").distinct().join(sets.select("sid", "_id", "_t"), "sid")
-        crowd = cut(crowd.join(texts, ["_id", "_t"]).select("sid", "n", "bits", "more", "comp", "text"))
+        crowd = cut(texts_of(crowd, texts).select("sid", "n", "bits", "more", "comp", "text"))
         leaf = leaf.unionByName(cut(_crowds(cut(rare_nodes(crowd, k, percent)))))
     links = cut(links.union(compare_nodes(leaf, texts, sets, k, percent, small)))
     comps = components(links)
 
     named = sets.select("sid", "doc_id").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     lowest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(lowest, "comp").select("sid", "component_id")
-    own = rows.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "_id", "_t", "n_shingles", F.col("doc_id").alias("component_id"))
-    linked = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").join(named, "sid").select("doc_id", "_id", "_t", "n_shingles", "component_id")
+    named = named.join(lowest, "comp").select("sid", "comp", "component_id")
+    own = rows.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "_id", "_t", "n_shingles", F.encode(F.concat_ws("|", F.lit("alone"), "_id", "_t"), "utf-8").alias("comp"), F.col("doc_id").alias("component_id"))
+    linked = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").join(named, "sid").select("doc_id", "_id", "_t", "n_shingles", "comp", "component_id")
     return linked.union(own)
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that are the smallest of their class, one row of each; rows with a null doc_id stay."""
-    kept = similar_classes(docs, k, percent).where("doc_id = component_id").groupBy("_id").agg(F.min("_t").alias("_t"))
+    """One row of each class, that of the smallest doc_id (then text hash); rows with a null doc_id stay."""
+    kept = similar_classes(docs, k, percent).where("doc_id = component_id").groupBy("comp").agg(F.min(F.struct("_id", "_t")).alias("at")).select("at.*")
     mine = docs.withColumns(row_key())
     stay = mine.where("doc_id IS NOT NULL").join(kept, ["_id", "_t"], "left_semi")
     return stay.dropDuplicates(["_id", "_t"]).unionByName(mine.where("doc_id IS NULL")).drop("_id", "_t")

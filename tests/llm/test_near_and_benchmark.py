@@ -180,3 +180,16 @@ def test_crowd_around_the_threshold_against_brute_force(spark):
     assert len(set(low)) > 50
     got = chosen_path.similar_classes(documents(spark, rows).select("doc_id", "text"), k=4, small=16)
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == sorted(zip([r[0] for r in rows], low.tolist()))
+
+
+def test_one_id_with_two_texts_keeps_one_row_of_each_class(spark):
+    one, two = "a b c d e f g h", "q r s t u v w x"
+    rows = [(5, one), (5, two), (7, one), (8, two), (5, one), (9, " "), (9, "")]
+    kept = chosen_path.one_of_each(documents(spark, rows).select("doc_id", "text")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(5, one), (5, two), (9, ""), (9, " ")]
+
+
+def test_repeated_rows_meet_as_one(spark):
+    pairs = spark.createDataFrame([(1, 10), (1, 11)], "_id long, _t long")
+    texts = spark.createDataFrame([(1, 10, "a")] * 50 + [(1, 11, "b")] * 50 + [(2, 12, "c")], "_id long, _t long, text string")
+    assert sorted(r.text for r in chosen_path.texts_of(pairs, texts).collect()) == ["a", "b"]
