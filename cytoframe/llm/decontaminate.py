@@ -7,7 +7,10 @@ Every document is cut in overlapping passages of twice the longest piece's lengt
 each piece lies wholly within one passage; each passage is a query for all pieces of at
 least ``least`` score.  Block maxima, summed per passage and block for a whole batch at once, rule out
 nearly all blocks: those that can't reach ``least`` even with what the most common terms can add.  In
-the others WAND moves from pivot to pivot by the block's maxima.  The items so retrieved are then
+the others WAND moves from pivot to pivot by the block's maxima.  An item whose question and answer
+stand so far apart that no passage holds ``least`` of its weight is retrieved by its question: of n shingles, any
+n - ceil(0.8 n) + 1 include one of a document that has 80 % of them, so the first ones (by hash, shingles
+of few items first) of each question are looked up too; its score is that of the whole document.  The items so retrieved are then
 verified on the whole document: 80 % or more of the five-word shingles both of the question
 (the words before the answer) and of the answer (its last third) must be there.
 
@@ -68,6 +71,7 @@ class Index:
                     owners.append(len(self.ids))
                 self.ids.append(int(items["item_id"].iloc[words.first + i]))
         self.owners = np.array(owners, np.int64)
+        self.keys, self.keyed = self._first_shingles()
         self.longest = max(map(len, pieces), default=1)
         mean = np.mean([len(p) for p in pieces]) if pieces else 1.0
         rows = []
@@ -101,6 +105,37 @@ class Index:
         self.run_most = np.maximum.reduceat(self.impact, first) if len(first) else np.zeros(0)
         self.run_bounds = np.searchsorted(term_of[first], np.arange(len(self.terms) + 1))
 
+    def _first_shingles(self) -> tuple[np.ndarray, np.ndarray]:
+        """(shingle, item) of as many shingles of each question as can't all be missing from a match, sorted by shingle."""
+        if not self.question:
+            return np.zeros(0, U), np.zeros(0, np.int64)
+        names, count = np.unique(np.concatenate(self.question), return_counts=True)
+        keys = []
+        for s in self.question:
+            n = len(s) - int(np.ceil(OVERLAP * len(s) - 1e-9)) + 1
+            keys.append(s[np.argsort(count[np.searchsorted(names, s)], kind="stable")[:n]])
+        key, item = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(x) for x in keys])
+        order = np.argsort(key, kind="stable")
+        return key[order], item[order]
+
+    def apart(self, words: Words) -> Iterator[tuple[int, int]]:
+        """(text, item) of all texts of a slice that hold one of the item's first shingles."""
+        h, bounds = shingles(words, SHINGLE)
+        low = np.searchsorted(self.keys, h)
+        at = np.flatnonzero((low < len(self.keys)) & (self.keys[np.minimum(low, len(self.keys) - 1)] == h))
+        high = np.searchsorted(self.keys, h[at], side="right")
+        text = np.searchsorted(bounds, at, side="right") - 1
+        n = high - low[at]
+        item = self.keyed[np.repeat(low[at] - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())]
+        pair = np.unique(np.repeat(text, n) * len(self.ids) + item)
+        yield from zip((pair // len(self.ids)).tolist(), (pair % len(self.ids)).tolist(), strict=True)
+
+    def whole_score(self, item: int, h: np.ndarray) -> float:
+        """The best score of an item's pieces for a whole document."""
+        terms = np.unique(self.find(h))
+        mine = np.isin(np.repeat(np.arange(len(self.terms)), np.diff(self.bounds)), terms)
+        return float(np.bincount(self.piece[mine], self.impact[mine], len(self.owners))[self.owners == item].max())
+
     def find(self, h: np.ndarray) -> np.ndarray:
         """Term numbers of hashes, -1 for words of no item."""
         at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
@@ -210,12 +245,16 @@ def _searcher(sent):
                 if not len(words.hashes):
                     continue
                 sets = {}
-                for text, item, score in index.search(words):
+                scores = {(text, item): score for text, item, score in index.search(words)}
+                for text, item in [*scores, *(p for p in index.apart(words) if p not in scores)]:
                     if text not in sets:
                         a, b = words.bounds[text], words.bounds[text + 1]
                         sets[text] = _all_shingles(words.hashes[a:b])
                     question, answer = index.verify(item, sets[text])
                     if min(question, answer) >= OVERLAP - 1e-9:
+                        score = scores.get((text, item))
+                        if score is None:
+                            score = index.whole_score(item, words.hashes[words.bounds[text] : words.bounds[text + 1]])
                         rows.append((ids[words.first + text], index.ids[item], score, question, answer))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]

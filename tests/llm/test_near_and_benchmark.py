@@ -134,6 +134,25 @@ def test_benchmark_matches_against_brute_force(spark):
         assert sorted([(r.doc_id, r.item_id) for r in got.collect()], key=repr) == brute_matches(rows, items)
 
 
+def test_question_and_answer_far_apart(spark):
+    rng = random.Random(9)
+    common = words(rng, 20, 300)  # the question's words are in every item, the answer's in one
+    items = [(i, " ".join(rng.sample(common.split(" "), 20)) + " " + words(rng, 10)) for i in range(30)]
+    rows = []
+    for i, text in items:
+        ws = text.split(" ")
+        rows.append((100 + i, " ".join(ws[20:]) + " " + words(rng, 300) + " " + " ".join(ws[:20])))
+    rare = words(rng, 30)  # a plain item, too: no part of it alone has 60 % of the weight if the question has common words
+    items.append((50, rare))
+    rows.append((200, " ".join(rare.split(" ")[:20]) + " " + words(rng, 300) + " " + " ".join(rare.split(" ")[20:])))
+    half = common.split(" ")[:10] + words(rng, 20).split(" ")  # 10 common and 10 rare words, then 10 rare ones
+    items.append((51, " ".join(half)))
+    rows.append((201, " ".join(half[:20]) + " " + words(rng, 300) + " " + " ".join(half[20:])))
+    got = decontaminate.matches(documents(spark, rows).select("doc_id", "text"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted([(r.doc_id, r.item_id) for r in got], key=repr) == brute_matches(rows, items)
+    assert {(201, 51), (200, 50)} <= {(r.doc_id, r.item_id) for r in got} and all(0.6 <= r.score <= 1 + 1e-9 for r in got)
+
+
 def test_wand_equals_scoring_everything():
     import pandas as pd
 
