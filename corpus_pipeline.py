@@ -18,10 +18,20 @@ ORACLE_SQL = None
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (no text, or no letter in it) go."""
-    model = language_backoff.train(docs.where(~fold("doc_id", 4, 2)))
-    told = language_backoff.identify(docs.select(*COLUMNS), model)
-    return told.where("lang_pred <> 'und'").select(*COLUMNS)
+    """Documents whose language can't be told go: no letter, or a score below what held-out documents of the length have.
+
+    Where no row has a language to learn from, all documents with a letter stay.
+    """
+    held = fold("doc_id", 4, 2)
+    model = language_backoff.train(docs.where(~held))
+    if model is None:
+        return docs.select(*COLUMNS).where(r"text RLIKE '\\p{L}'")
+    edges = language_backoff.least_scores(docs.where(held), model)
+    told = language_backoff.identify(docs.select(*COLUMNS), model).where("lang_pred <> 'und'")
+    low = F.lit(False)
+    for c, edge in edges.items():
+        low = low | ((language_backoff.length_class() == c) & (F.col("score") < edge))
+    return told.where(~low).select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

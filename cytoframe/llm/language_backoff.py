@@ -2,7 +2,8 @@
 
 Training counts words and character n-grams (orders 1 to ``ORDERS``) per language on a sample of about
 ``docs_per_lang`` labelled documents of each language; the model keeps the most frequent
-``max_words`` words seen twice or more and ``max_grams`` n-grams, so that its size is fixed by parameters.  Scoring
+``max_words`` words seen twice or more and ``max_grams`` n-grams (by their share of their own language and
+order, so that a language with few documents keeps its own), so that its size is fixed by parameters.  Scoring
 reads whole texts: a known word adds its log frequency per language; a word that training
 did not keep is scored by its n-grams of the longest order of which it has a known one.
 The language with the largest sum wins (ties: first by code point); ``score`` is the softmax
@@ -20,12 +21,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytoframe.llm import query
 from cytoframe.llm.common import fold, table
 from cytoframe.llm.tokens import Words, mix, randoms, slices
+from cytoframe.session import cut
 
 ORDERS = 4
 U = np.uint64
@@ -142,8 +144,10 @@ def train(docs: DataFrame, docs_per_lang: int = 3000, max_words: int = 400_000,
     chance = (F.xxhash64(F.col("doc_id"), F.lit("sample")).bitwiseAND(F.lit((1 << 30) - 1))) / float(1 << 30)
     sample = known.select("doc_id", "lang", "text").join(sizes, "lang").where(chance * F.col("_n") < docs_per_lang)
     counts = sample.select("lang", "text").mapInArrow(_count, "lang string, k int, h long, n long").groupBy("lang", "k", "h").agg(F.sum("n").alias("n"))
+    counts = cut(counts)
     words = counts.where("k = 0 AND n >= 2").orderBy(F.desc("n"), "h", "lang").limit(max_words)
-    grams = counts.where("k > 0").orderBy(F.desc("n"), "h", "lang").limit(max_grams)
+    totals = F.broadcast(counts.where("k > 0").groupBy("lang", "k").agg(F.sum("n").alias("_all")))
+    grams = counts.where("k > 0").join(totals, ["lang", "k"]).orderBy(F.desc(F.col("n") / F.col("_all")), "h", "lang").limit(max_grams).select(*counts.columns)
     rows = words.unionByName(grams).toPandas()
     return Model(rows) if len(rows) else None
 
@@ -176,6 +180,23 @@ def identify(docs: DataFrame, model: Model | None, keep_text: bool = True) -> Da
     return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
 
 
+def length_class() -> Column:
+    return F.floor(F.log2(F.char_length("text") + 1)).cast("int")
+
+
+def least_scores(held: DataFrame, model: Model, least_rows: int = 200) -> dict[int, float]:
+    """The score below which a text of a length class (powers of two) has no language.
+
+    That is half way from a score that tells nothing (one over the number of languages) to the lowest
+    score of a labelled row of ``held`` whose language was found.  A class of fewer than
+    ``least_rows`` such rows has no entry.
+    """
+    told = identify(held.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang"), model).where("lang_pred = lang")
+    found = told.groupBy(length_class().alias("c")).agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_rows)
+    nothing = 1 / len(model.langs)
+    return {r.c: (nothing + r.low) / 2 for r in found.collect()}
+
+
 @query("op9_language_backoff")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", fold("doc_id", 4, 2).alias("held_out"))

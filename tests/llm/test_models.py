@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cytoframe.llm import hidden_markov, language_backoff, quality_mil
 from cytoframe.llm.common import fold
 from tests.llm.samples import awkward, documents, words
@@ -188,3 +189,23 @@ def test_scores_of_no_documents(spark):
     held_only = documents(spark, [(1, "a b")]).select("doc_id", "text", F.lit(True).alias("held_out"))
     r = hidden_markov.score(held_only).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and r.base_score == 0.0
+
+
+def test_language_stage_follows_the_model_and_keeps_all_without_one(spark):
+    rng = random.Random(21)
+    rows = [(i, speech(rng, lang, 40), lang) for i, lang in enumerate(rng.choices(list(SOUNDS), k=2400))]
+    strange = [(5000 + i, " ".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(130)), None) for i in range(20)]
+    docs = documents(spark, rows + strange).select(*corpus_pipeline.COLUMNS)
+    got = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, "").collect()}
+    assert got == {r[0] for r in rows}
+    unknown = documents(spark, awkward()).withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.language_stage(spark, unknown, "").collect()
+    assert sorted(r.text for r in got) == sorted(r[1] for r in awkward() if r[1] and any(c.isalpha() for c in r[1]))
+
+
+def test_small_language_keeps_its_ngrams(spark):
+    rng = random.Random(22)
+    rows = [(i, speech(rng, "en", 30), "en") for i in range(400)] + [(900 + i, speech(rng, "fr", 10), "fr") for i in range(3)]
+    model = language_backoff.train(documents(spark, rows), max_words=1, max_grams=100)
+    kept = [sum(float((logs[:, i] > logs[:, i].min()).sum()) for logs in model.logs[1:] if len(logs)) for i in range(2)]
+    assert min(kept) >= 30
