@@ -11,7 +11,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 _MODULES = (
     "quality_mil", "line_ledger", "secret_ledger", "decontaminate", "surrogates", "outlier_rules", "hidden_markov", "mix_flow",
-    "language_backoff", "chosen_path", "token_store",
+    "language_backoff", "chosen_path", "token_store", "segment_mining", "source_audit",
 )
 
 
