@@ -16,9 +16,10 @@ level's slot is settled there, the others go to the next level; the slot is the
 over arrays of fingerprints, shards, offsets and lengths.  A lookup touches one bucket and on
 average fewer than two levels, and a foreign key is refused by its 32-bit fingerprint.
 
-Encoding.  Blank-led chunks are always whole pre-tokens of a byte-level pattern (no alternative runs from a
-non-blank into a blank), so each different chunk of a batch is given to the tokenizer once and its ids
-are reused; the ids are those of the whole text.
+Encoding.  No alternative of a byte-level pattern runs from a non-blank into a blank, from a letter into another kind of
+character, from a digit into another kind, or from a mark into a digit or (but for an apostrophe) a letter.  Texts are cut
+there; each different chunk is given to the tokenizer once and its ids are reused, so that the ids are those of the whole
+text.  Beside characters outside ASCII, and in slices that hold an added token's text, only blanks are cut at.
 
 The shared folder must be one that ``pyarrow.fs`` opens (a mount, HDFS, S3, GCS): executors read shards by offset.
 
@@ -28,10 +29,12 @@ their own (rows alike in id and text are interchangeable); an empty table gives
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 
 from cytoframe.llm import query
 from cytoframe.llm.common import table, width
-from cytoframe.llm.tokens import _BYTES, _IS_BLANK, SLICE_BYTES, U, _powers, mix, randoms
+from cytoframe.llm.tokens import _BYTES, _IS_BLANK, U, _powers, mix, randoms
 from cytoframe.session import cut, ensure_checkpoint_dir
 
 END = 0
@@ -49,18 +52,25 @@ MAGIC = b"IDSHARD1"
 BUCKET_KEYS = 32_768
 GAMMA = 2.0
 LEVELS = 64
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 1_000_000
 SPAN = 1 << 20
+SLICE_BYTES = 1 << 21
 _SEEDS = randoms(LEVELS, 41)
 #: The last two bytes of white space outside ASCII (U+0085, U+00A0, U+1680, U+2000-200A, U+2028-2029, U+202F, U+205F, U+3000).
 _WIDE_BLANK = np.zeros(1 << 16, bool)
 _WIDE_BLANK[[0xC285, 0xC2A0, 0x9A80, *range(0x8080, 0x808B), 0x80A8, 0x80A9, 0x80AF, 0x819F]] = True
+BLANK, LETTER, DIGIT, MARK, WIDE = range(5)
+_KIND = np.full(256, MARK, np.uint8)
+_KIND[128:] = WIDE
+_KIND[np.flatnonzero(_IS_BLANK)] = BLANK
+_KIND[48:58] = DIGIT
+_KIND[65:91] = _KIND[97:123] = LETTER
 MANIFEST = "shard int, path string, docs long, ids long, first long, first_known boolean, last long, last_known boolean, last_run long"
 INDEX = "bucket int, n int, sizes array<int>, bits binary, marks binary, shards binary, offsets binary, lengths binary"
 
 
 def raw_slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bytes, text offsets) of a string column, about a megabyte of text at a time; null counts as empty."""
+    """(bytes, text offsets) of a string column, about two megabytes of text at a time; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -82,67 +92,105 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of whole texts, with the ids of chunks seen before kept in one pool."""
+    """Ids of whole texts; chunks met before are found by hash, checked byte by byte, and have their ids in one pool."""
 
     def __init__(self, tokenizer_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[bytes, int] = {}
-        self.pool, self.starts, self.sizes = np.zeros(1 << 20, self.kind), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.used = 0
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        for chunk, got in zip(chunks, self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False), strict=True):
-            n, place = len(got.ids), len(self.places)
-            while self.used + n > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            if place == len(self.starts):
-                self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-            self.pool[self.used : self.used + n] = got.ids
-            self.starts[place], self.sizes[place] = self.used, n
-            self.used += n
-            self.places[chunk] = place
+        self.hashes, self.places = np.zeros(0, U), np.zeros(0, np.int64)
+        self.ids, self.text = Pool(self.kind), Pool(np.uint8)
+
+    def _learn(self, chunks: list[bytes], hashes: np.ndarray) -> None:
+        """Append chunks that are not known."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)]
+        place = self.text.count + np.arange(len(chunks))
+        self.ids.add(np.fromiter(chain.from_iterable(got), self.kind), np.fromiter(map(len, got), np.int64, len(got)))
+        self.text.add(np.frombuffer(b"".join(chunks), np.uint8), np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        order = np.argsort(hashes, kind="stable")
+        at = np.searchsorted(self.hashes, hashes[order])
+        self.hashes, self.places = np.insert(self.hashes, at, hashes[order]), np.insert(self.places, at, place[order])
+
+    def _known(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of hashes, -1 where there is none."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.places[at], -1)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice, and where each text's ids begin (one more entry than texts)."""
         size = len(raw)
         if size == 0:
             return np.zeros(0, self.kind), np.zeros(len(offsets), np.int64)
-        blank = _IS_BLANK[raw]
-        begins = np.zeros(size + 1, bool)
-        begins[1:size] = blank[1:] & ~blank[:-1]
-        pair = np.zeros(size, np.uint16)
-        pair[1:] = (raw[:-1].astype(np.uint16) << 8) | raw[1:]
-        begins[1:size] &= ~_WIDE_BLANK[pair[:-1]]
-        begins[offsets] = True
-        starts = np.flatnonzero(begins[:size])
+        starts = np.flatnonzero(self._cuts(raw, offsets)[:size])
         lengths = np.diff(np.append(starts, size))
         up, down = _powers(size + 1)
         sums = np.zeros(size + 1, U)
         np.cumsum(_BYTES[False][raw] * up[:size], out=sums[1:])
         hashes = mix((sums[starts + lengths] - sums[starts]) * down[starts])
-        _, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        twin = example[inverse]
-        same = lengths[twin] == lengths
-        agree = same.all() and (raw[spread(starts[twin], lengths)] == raw).all()
-        if not agree:  # two chunks of one hash: every chunk stands for itself
-            example, inverse = np.arange(len(starts)), np.arange(len(starts))
-        if len(self.places) > CACHE_CHUNKS:
+        unique, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if self.text.count > CACHE_CHUNKS:
             self.clear()
+        unseen = np.flatnonzero(self._known(unique) < 0)
+        if len(unseen):
+            text, first = raw.tobytes(), example[unseen]
+            self._learn([text[a:b] for a, b in zip(starts[first].tolist(), (starts[first] + lengths[first]).tolist(), strict=True)], unique[unseen])
+        place = self._known(unique)[inverse]
+        if (self.text.sizes(place) != lengths).any() or (self.text.take(place) != raw).any():
+            return self._plain(raw, offsets)
+        bounds = np.concatenate([[0], np.cumsum(self.ids.sizes(place))])
+        return self.ids.take(place), bounds[np.searchsorted(starts, offsets)]
+
+    def _cuts(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where pre-tokens are sure to end: see ``Encoding`` above."""
+        size = len(raw)
+        kind = _KIND[raw]
+        before, after = kind[:-1], kind[1:]
+        pair = np.zeros(size, np.uint16)
+        pair[1:] = (raw[:-1].astype(np.uint16) << 8) | raw[1:]
+        cuts = np.zeros(size + 1, bool)
+        cuts[1:size] = (after == BLANK) & (before != BLANK) & ~_WIDE_BLANK[pair[:-1]]
+        if not any(t in raw.tobytes() for t in self.added):
+            ascii_ = (before != WIDE) & (after != WIDE)
+            cuts[1:size] |= ascii_ & (before != after) & (before != BLANK) & ~((before == MARK) & (after == LETTER) & (raw[:-1] == ord("'")))
+        cuts[offsets] = True
+        return cuts
+
+    def _plain(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two different chunks have one hash: the texts of the slice are encoded as they are."""
         text = raw.tobytes()
-        chunks = [text[a:b] for a, b in zip(starts[example].tolist(), (starts[example] + lengths[example]).tolist(), strict=True)]
-        unseen = list(dict.fromkeys(c for c in chunks if c not in self.places))
-        if unseen:
-            self._learn(unseen)
-        place = np.fromiter((self.places[c] for c in chunks), np.int64, len(chunks))[inverse]
-        n_ids = self.sizes[place]
-        bounds = np.concatenate([[0], np.cumsum(n_ids)])
-        return self.pool[spread(self.starts[place], n_ids)], bounds[np.searchsorted(starts, offsets)]
+        got = [self.tokenizer.encode(text[a:b].decode("utf-8", "replace"), add_special_tokens=False).ids for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        return np.fromiter(chain.from_iterable(got), self.kind), np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int64)
+
+
+class Pool:
+    """Runs of numbers one after the other, growing by doubling."""
+
+    def __init__(self, kind: np.dtype | type):
+        self.data, self.ends, self.count = np.zeros(1 << 20, kind), np.zeros(1 << 16, np.int64), 0
+
+    def add(self, data: np.ndarray, sizes: np.ndarray) -> None:
+        used = int(self.ends[self.count])
+        while used + len(data) > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros_like(self.data)])
+        while self.count + len(sizes) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.data[used : used + len(data)] = data
+        self.ends[self.count + 1 : self.count + len(sizes) + 1] = used + np.cumsum(sizes)
+        self.count += len(sizes)
+
+    def sizes(self, place: np.ndarray) -> np.ndarray:
+        return self.ends[place + 1] - self.ends[place]
+
+    def take(self, place: np.ndarray) -> np.ndarray:
+        return self.data[spread(self.ends[place], self.sizes(place))]
 
 
 @lru_cache(maxsize=2)

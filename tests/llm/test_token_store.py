@@ -24,15 +24,28 @@ def slice_of(texts):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet="ab'sé \t\n\r\u00a0\u0085\u3000\u2009\u2028ß文1!<|endoftx>", max_size=40), min_size=1, max_size=6))
+@given(st.lists(st.text(alphabet="abrelv'sté \t\n\r\x00\x1c\u00a0\u0085\u3000\u2009\u2028ß文12!-<|endoftx>²", max_size=40), min_size=1, max_size=6))
 def test_chunks_give_the_ids_of_whole_texts(texts):
     ids, bounds = ENCODER.encode(*slice_of(texts))
     for k, text in enumerate(texts):
         assert ids[bounds[k] : bounds[k + 1]].tolist() == PLAIN.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abst'12!- .\n", max_size=60))
+def test_inner_cuts_give_the_ids_of_whole_texts(text):
+    ids, _ = ENCODER.encode(*slice_of([text]))
+    assert ids.tolist() == PLAIN.encode(text, add_special_tokens=False).ids
+
+
+def test_chunks_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr("cytoframe.llm.token_store.mix", lambda x: x * 0)
+    ids, bounds = Encoder(FILE).encode(*slice_of(["one two", "three"]))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [PLAIN.encode(t, add_special_tokens=False).ids for t in ("one two", "three")]
+
+
 def test_special_string_and_long_text():
-    texts = ["a <|endoftext|> b", " x" * 5000, "\n\n \n end  ", "word\u00a0 next"]
+    texts = ["a <|endoftext|> b", "a12b34-'s x'll'really it's3 -5 '5 a.b,c  d",  " x" * 5000, "\n\n \n end  ", "word\u00a0 next"]
     ids, bounds = ENCODER.encode(*slice_of(texts))
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
 
