@@ -1,9 +1,9 @@
 """Language identification: whole words first, then shorter and shorter character n-grams.
 
 Training counts words and character n-grams (orders 1 to ``ORDERS``) per language on a sample of about
-``docs_per_lang`` labelled documents of each language; the model keeps the most frequent
-``max_words`` words seen twice or more and ``max_grams`` n-grams (by their share of their own language and
-order, so that a language with few documents keeps its own), so that its size is fixed by parameters.  Scoring
+``docs_per_lang`` labelled documents of each language.  Every language chooses its most frequent words (seen twice or
+more) and, for each order, its most frequent n-grams; a chosen feature is kept with its counts in
+all languages.  The quotas follow from ``max_bytes``, the size of the model: 8 bytes and 4 for each language a feature.  Scoring
 reads whole texts: a known word adds its log frequency per language; a word that training
 did not keep is scored by its n-grams of the longest order of which it has a known one.
 The language with the largest sum wins (ties: first by code point); ``score`` is the softmax
@@ -21,7 +21,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cytoframe.llm import query
@@ -86,17 +87,36 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Sorted hashes and a (feature, language) table of log frequencies for each order."""
 
-    def __init__(self, rows: pd.DataFrame):
-        self.langs = sorted(rows["lang"].unique())
-        self.keys, self.logs = [], []
+    def __init__(self, langs: list[str], rows: pa.Table):
+        """``rows``: k, h, and for each feature its languages (by number) and counts as two lists."""
+        self.langs, self.keys, self.logs, self._sent = langs, [], [], None
         for k in range(ORDERS + 1):
-            part = rows[rows["k"] == k]
-            keys, place = np.unique(part["h"].to_numpy(np.int64).view(U), return_inverse=True)
-            counts = np.zeros((len(keys), len(self.langs)))
-            np.add.at(counts, (place, np.searchsorted(self.langs, part["lang"].to_numpy(str))), part["n"].to_numpy())
-            total = counts.sum(axis=0) + 0.5 * (len(keys) + 1)
-            self.keys.append(keys)
-            self.logs.append(np.log((counts + 0.5) / total).astype(np.float32))
+            part = rows.filter(pa.compute.equal(rows["k"], k)).combine_chunks()
+            h = part["h"].to_numpy().view(U)
+            order = np.argsort(h)
+            place = np.empty(len(h), np.int64)
+            place[order] = np.arange(len(h))
+            logs = np.full((len(h), len(langs)), 0.5, np.float32)
+            sizes = part["at"].combine_chunks().value_lengths().to_numpy() if len(h) else np.zeros(0, np.int64)
+            logs[np.repeat(place, sizes), part["at"].combine_chunks().flatten().to_numpy()] += part["n"].combine_chunks().flatten().to_numpy().astype(np.float32)
+            total = logs.sum(axis=0, dtype=np.float64) + 0.5  # half a count for every feature and one for all others
+            np.log(logs, out=logs)
+            logs -= np.log(total).astype(np.float32)
+            self.keys.append(h[order])
+            self.logs.append(logs)
+
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (*self.keys, *self.logs))
+
+    def sent(self, spark: SparkSession):
+        """The broadcast of this model; it is sent once."""
+        if self._sent is None:
+            self._sent = spark.sparkContext.broadcast(self)
+        return self._sent
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_sent": None}
 
     def find(self, k: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys = self.keys[k]
@@ -135,29 +155,35 @@ class Model:
         return total[words.bounds[1:]] - total[words.bounds[:-1]]
 
 
-def train(docs: DataFrame, docs_per_lang: int = 3000, max_words: int = 400_000, max_grams: int = 100_000) -> Model | None:
+def train(docs: DataFrame, docs_per_lang: int = 3000, max_bytes: int = 12_000_000) -> Model | None:
     """Fit on a documented sample: each language's documents are kept with probability docs_per_lang / their number."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     # one row per language, as many as the model has columns; so the sample is drawn where the texts are read
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
     sizes = docs.sparkSession.createDataFrame(sizes.collect(), sizes.schema)
+    langs = sorted(r.lang for r in sizes.collect())
+    if not langs:
+        return None
     chance = (F.xxhash64(F.col("doc_id"), F.lit("sample")).bitwiseAND(F.lit((1 << 30) - 1))) / float(1 << 30)
     sample = known.select("doc_id", "lang", "text").join(sizes, "lang").where(chance * F.col("_n") < docs_per_lang)
     counts = sample.select("lang", "text").mapInArrow(_count, "lang string, k int, h long, n long").groupBy("lang", "k", "h").agg(F.sum("n").alias("n"))
     counts = cut(counts)
-    words = counts.where("k = 0 AND n >= 2").orderBy(F.desc("n"), "h", "lang").limit(max_words)
-    totals = F.broadcast(counts.where("k > 0").groupBy("lang", "k").agg(F.sum("n").alias("_all")))
-    grams = counts.where("k > 0").join(totals, ["lang", "k"]).orderBy(F.desc(F.col("n") / F.col("_all")), "h", "lang").limit(max_grams).select(*counts.columns)
-    rows = words.unionByName(grams).toPandas()
-    return Model(rows) if len(rows) else None
+    # half of the room for words, half for n-grams, in equal parts for languages and orders
+    quota = max_bytes // (8 + 4 * len(langs)) // len(langs) // 2
+    rank = F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "h"))
+    chosen = counts.where("k > 0 OR n >= 2").withColumn("_r", rank).where(F.col("_r") <= F.when(F.col("k") == 0, quota).otherwise(max(quota // ORDERS, 1)))
+    at = (F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int")
+    kept = counts.join(chosen.select("k", "h").distinct(), ["k", "h"]).groupBy("k", "h").agg(F.collect_list(F.struct(at.alias("at"), "n")).alias("c"))
+    rows = kept.select("k", "h", F.col("c.at").alias("at"), F.col("c.n").alias("n")).toArrow()
+    return Model(langs, rows) if rows.num_rows else None
 
 
 def identify(docs: DataFrame, model: Model | None, keep_text: bool = True) -> DataFrame:
     """``docs`` (which has a ``text``) with ``lang_pred`` and ``score``; other columns pass through."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = None if model is None else model.sent(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = None if sent is None else sent.value
         for batch in batches:
             texts = batch["text"]
             pred = np.full(batch.num_rows, "und", dtype=object)

@@ -4,12 +4,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cytoframe.llm import hidden_markov, language_backoff, quality_mil
 from cytoframe.llm.common import fold
+from cytoframe.llm.tokens import slices
 from tests.llm.samples import awkward, documents, words
 from tests.llm.test_near_and_benchmark import tokens
 
@@ -206,6 +208,26 @@ def test_language_stage_follows_the_model_and_keeps_all_without_one(spark):
 def test_small_language_keeps_its_ngrams(spark):
     rng = random.Random(22)
     rows = [(i, speech(rng, "en", 30), "en") for i in range(400)] + [(900 + i, speech(rng, "fr", 10), "fr") for i in range(3)]
-    model = language_backoff.train(documents(spark, rows), max_words=1, max_grams=100)
+    model = language_backoff.train(documents(spark, rows), max_bytes=16 * 2 * 2 * 100)
     kept = [sum(float((logs[:, i] > logs[:, i].min()).sum()) for logs in model.logs[1:] if len(logs)) for i in range(2)]
     assert min(kept) >= 30
+
+
+def test_features_are_kept_whole_within_the_bytes(spark):
+    """A word that one language chose has its counts in all of them, and the model has the size asked for."""
+    rng = random.Random(23)
+    rows = [(i, "common shared " + speech(rng, lang, 30), lang) for i, lang in enumerate(["en"] * 300 + ["fr"] * 300 + ["de"] * 5)]
+    docs = documents(spark, rows)
+    whole = language_backoff.train(docs)
+    for size in (20 * 3 * 2 * 60, 20 * 3 * 2 * 400):
+        model = language_backoff.train(docs, max_bytes=size)
+        assert model.nbytes <= size and model.langs == ["de", "en", "fr"]
+        word = next(slices(pa.array(["shared"]))).hashes
+        at, known = model.find(0, word)
+        counts = np.exp(model.logs[0][at[0]].astype(float))
+        assert known[0] and counts.min() > 0.5 * counts.max() / 20
+        for k in range(5):
+            kept = np.isin(whole.keys[k], model.keys[k])
+            assert kept.sum() == len(model.keys[k])
+            ratio = np.exp(whole.logs[k][kept].astype(float) - model.logs[k])
+            np.testing.assert_allclose(ratio, np.broadcast_to(ratio[:1], ratio.shape), rtol=1e-4)  # the same counts, another total
