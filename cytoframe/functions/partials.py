@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -10,12 +11,33 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SCHEMA = "name string, shape array<int>, r int, lane int, vals array<double>"
+SCHEMA = "name string, shape array<int>, r bigint, lane int, vals array<double>"
 
 SMALL = 100_000
 
 
-def matrix_sums(df: DataFrame, part: Callable[[pd.DataFrame], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+@dataclass
+class Rows:
+    """Some rows of a tall matrix: only rows that occur are added and sent; ``matrix_sums`` returns all that occurred, by number."""
+
+    ids: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def by(cls, code: np.ndarray, values: np.ndarray) -> Rows:
+        """Sums of ``values`` over equal codes."""
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, int)
+        return cls(code[first], np.add.reduceat(values[order], first, axis=0) if len(code) else values[:0])
+
+    def dense(self, n: int) -> np.ndarray:
+        out = np.zeros((n, self.values.shape[1]))
+        out[self.ids] = self.values
+        return out
+
+
+def matrix_sums(df: DataFrame, part: Callable[[pd.DataFrame], dict[str, np.ndarray | Rows]]) -> dict[str, np.ndarray | Rows]:
     """Add up the arrays ``part`` returns for every Arrow batch of ``df``.
 
     Each task folds its batches into one set of arrays and emits them row by row; rows
@@ -30,13 +52,22 @@ def matrix_sums(df: DataFrame, part: Callable[[pd.DataFrame], dict[str, np.ndarr
             if not len(pdf):
                 continue
             for name, value in part(pdf).items():
+                if isinstance(value, Rows):
+                    held = total.get(name)
+                    total[name] = value if held is None else Rows.by(np.concatenate([held.ids, value.ids]), np.concatenate([held.values, value.values]))
+                    continue
                 value = np.asarray(value, dtype=float)
                 total[name] = total[name] + value if name in total else value
         lane = TaskContext.get().partitionId() % 32
         for name, value in total.items():
+            if isinstance(value, Rows):
+                for at in range(0, len(value.ids), 2048):
+                    ids, some = value.ids[at : at + 2048], value.values[at : at + 2048]
+                    yield pd.DataFrame({"name": name, "shape": [[-1]] * len(ids), "r": ids.astype("int64"), "lane": lane, "vals": list(some)})
+                continue
             flat = value.reshape(1, -1) if value.size <= SMALL else value.reshape(-1, value.shape[-1])
             yield pd.DataFrame(
-                {"name": name, "shape": [list(value.shape)] * len(flat), "r": np.arange(len(flat), dtype="int32"), "lane": lane, "vals": list(flat)}
+                {"name": name, "shape": [list(value.shape)] * len(flat), "r": np.arange(len(flat), dtype="int64"), "lane": lane, "vals": list(flat)}
             )
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -53,5 +84,8 @@ def matrix_sums(df: DataFrame, part: Callable[[pd.DataFrame], dict[str, np.ndarr
     for name, group in rows.groupby("name"):
         group = group.sort_values("r")
         shape = tuple(int(s) for s in group["shape"].iloc[0])
+        if shape == (-1,):
+            out[name] = Rows(group["r"].to_numpy(), np.vstack(group["vals"].to_numpy()))
+            continue
         out[name] = np.vstack(group["vals"].to_numpy()).reshape(shape)
     return out

@@ -7,8 +7,10 @@ driver; their size is bounded by ``top_n_genes``, never by the number of cells.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,7 @@ class CnvConfig:
     cluster_k: int | None = None
     merge_threshold: float = 0.98
     peaks: tuple[float, float, float] = (-0.1, 0.0, 0.1)
-    exact_cluster_cells: int = 1500
+    cluster_nodes: int = 1500
 
     def __post_init__(self):
         if not 0 <= self.threshold_percentile < 0.5:
@@ -278,8 +280,88 @@ def window_scores(expr: DataFrame, obs: DataFrame, genes: DataFrame, scale: Data
     return rows.mapInPandas(run, schema), names
 
 
-def _spread(cells: DataFrame) -> DataFrame:
-    return cells.select("*", F.posexplode("scores").alias("w", "score"))
+#: Counters of a window: sixteen for each power of two from 2 ** -30 to 2 ** 3, on both sides of the one around zero.
+_STEPS = 33 * 16
+BINS = 2 * _STEPS + 1
+
+
+def rank_bins(v: np.ndarray) -> np.ndarray:
+    """The counter of each score: it never falls as the score rises."""
+    key = (np.abs(v).view(np.int64) >> 48) - ((1023 - 30) << 4) + 1
+    return np.where(v < 0, -1, 1) * np.clip(key, 0, _STEPS) + _STEPS
+
+
+def _blocks(batches) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """(group, scores, counter of every score among those of all windows) of bounded blocks of cells."""
+    for whole in batches:
+        for at in range(0, len(whole), 2048):
+            for grp, part in whole.iloc[at : at + 2048].groupby("grp", sort=False):
+                x = np.vstack(part["scores"].to_numpy())
+                yield grp, x.ravel(), (rank_bins(x) + np.arange(x.shape[1]) * BINS).ravel()
+
+
+def _added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Sum of the last array over equal rows of the others, sorted."""
+    *keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort(keys[::-1])
+    keys, n = [k[order] for k in keys], n[order]
+    first = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]))
+    return (*[k[first] for k in keys], np.add.reduceat(n, first))
+
+
+def window_quantiles(cells: DataFrame, probs: dict[str, float]) -> DataFrame:
+    """Exact quantiles (grp, w, one column a name) of every window's scores, by rank counters; ``cells``: grp (text, never null), scores.
+
+    First scan: each task adds its scores to counters that cover the number line in fixed steps; the totals name
+    the counters that hold the ranks asked for.  Second scan: the values of these counters alone, equal ones
+    counted together, give the exact ranks.  Both read the score arrays as they are; no cell becomes a row a window.
+    """
+    def tally(batches):
+        held: dict[str, list] = {}
+        for grp, _, code in _blocks(batches):
+            n = np.bincount(code)
+            parts = held.setdefault(grp, [])
+            parts.append((np.flatnonzero(n), n[n > 0]))
+            if sum(len(p[0]) for p in parts) > 4_000_000:
+                held[grp] = [_added(parts)]
+        for grp, parts in held.items():
+            code, n = _added(parts)
+            yield pd.DataFrame({"grp": grp, "w": (code // BINS).astype("int32"), "bin": (code % BINS).astype("int32"), "n": n})
+
+    counted = cells.mapInPandas(tally, "grp string, w int, bin int, n long").groupBy("grp", "w", "bin").agg(F.sum("n").alias("n"))
+    line, whole = Window.partitionBy("grp", "w").orderBy("bin"), Window.partitionBy("grp", "w")  # at most BINS rows
+    counted = counted.withColumns({"end": F.sum("n").over(line), "total": F.sum("n").over(whole)})
+    place = lambda p: (F.col("total") - 1) * F.lit(p)
+    ranks = [f(place(p)).cast("long") for p in probs.values() for f in (F.floor, F.ceil)]
+    holds = lambda k: (k >= F.col("end") - F.col("n")) & (k < F.col("end"))
+    wanted = cut(counted.where(reduce(lambda a, b: a | b, map(holds, ranks))).select("grp", "w", "bin", (F.col("end") - F.col("n")).alias("before"), "total"))
+    # at most four counters a group and window
+    asked: dict[str, np.ndarray] = {g: np.sort((t["w"].to_numpy(np.int64) * BINS + t["bin"]).to_numpy()) for g, t in wanted.select("grp", "w", "bin").toPandas().groupby("grp")}
+    sent = cells.sparkSession.sparkContext.broadcast(asked)
+
+    def pick(batches):
+        held: dict[str, list] = {}
+
+        def rows(grp):
+            code, value, n = _added(held.pop(grp))
+            return pd.DataFrame({"grp": grp, "w": (code // BINS).astype("int32"), "bin": (code % BINS).astype("int32"), "value": value, "n": n})
+
+        for grp, x, code in _blocks(batches):
+            known = sent.value[grp]
+            hit = known[np.minimum(np.searchsorted(known, code), len(known) - 1)] == code
+            held.setdefault(grp, []).append((code[hit], x[hit] + 0.0, np.ones(int(hit.sum()), np.int64)))
+            if sum(len(p[0]) for p in held[grp]) > 4_000_000:
+                yield rows(grp)
+        for grp in list(held):
+            if sum(len(p[0]) for p in held[grp]):
+                yield rows(grp)
+
+    values = cells.mapInPandas(pick, "grp string, w int, bin int, value double, n long").groupBy("grp", "w", "bin", "value").agg(F.sum("n").alias("n"))
+    values = values.join(F.broadcast(wanted), ["grp", "w", "bin"]).withColumn("end", F.col("before") + F.sum("n").over(Window.partitionBy("grp", "w", "bin").orderBy("value")))
+    at = lambda k: F.max(F.when(holds(k.cast("long")), F.col("value")))
+    found = values.groupBy("grp", "w").agg(F.first("total").alias("total"), *[at(f(place(p))).alias(f"{name}{i}") for name, p in probs.items() for i, f in enumerate((F.floor, F.ceil))])
+    share = lambda p: place(p) - F.floor(place(p))
+    return found.select("grp", "w", *[(F.col(f"{name}0") + (F.col(f"{name}1") - F.col(f"{name}0")) * share(p)).alias(name) for name, p in probs.items()])
 
 
 def window_limits(
@@ -291,18 +373,17 @@ def window_limits(
     of each group's quantiles with strict bounds; else from all cells.
     """
     probs = {"lo": p, "hi": 1.0 - p}
-    strict = False
+    used = cells
     if refs is not None:
-        source = cells.join(refs.select("obs_id").distinct(), "obs_id", "left_semi")
-        table = exact_quantiles(_spread(source), ["w"], "score", probs)
-    elif groups is not None:
-        strict = True
-        per = exact_quantiles(_spread(cells.join(groups, "obs_id")), ["w", "grp"], "score", probs)
-        table = per.groupBy("w").agg(F.median("lo").alias("lo"), F.median("hi").alias("hi"))
+        used = cells.join(refs.select("obs_id").distinct(), "obs_id", "left_semi")
+    grouped = refs is None and groups is not None
+    if grouped:
+        used = cells.join(groups.select("obs_id", F.coalesce(F.concat(F.lit("="), F.col("grp").cast("string")), F.lit("")).alias("grp")), "obs_id")
     else:
-        table = exact_quantiles(_spread(cells), ["w"], "score", probs)
-    rows = table.orderBy("w").collect()
-    return [r["lo"] for r in rows], [r["hi"] for r in rows], strict
+        used = used.withColumn("grp", F.lit(""))
+    per = window_quantiles(cut(used.select("grp", "scores")) if grouped or refs is not None else used.select("grp", "scores"), probs)
+    rows = per.groupBy("w").agg(F.median("lo").alias("lo"), F.median("hi").alias("hi")).orderBy("w").collect()
+    return [r["lo"] for r in rows], [r["hi"] for r in rows], grouped
 
 
 def trim_scores(cells: DataFrame, low: Sequence[float], high: Sequence[float], strict: bool = False) -> DataFrame:
@@ -398,17 +479,18 @@ def elbow_k(x: np.ndarray, size: np.ndarray, merges) -> int:
     The curve is walked from single points along the merge list, each merge adding its two clusters' cross distances.
     """
     most = min(15, int(size.sum()), len(x))
-    held = {i: (np.array([i]), float(size[i]), 0.0) for i in range(len(x))}
-    home = {i: i for i in range(len(x))}
+    # sums of squared distances between every two clusters, and inside each
+    across = np.array([np.abs(x - r).sum(axis=1) for r in x]) ** 2 * np.outer(size, size)
+    weight, inside, home = size.astype(float).copy(), np.zeros(len(x)), np.arange(len(x))
     total, curve = 0.0, {len(x): 0.0}
     for done, (a, b, _) in enumerate(merges, start=1):
-        left, right = home[a], home[b]
-        (i, wi, si), (j, wj, sj) = held.pop(left), held.pop(right)
-        across = sum(float(size[p] * (size[j] * np.abs(x[j] - x[p]).sum(axis=1) ** 2).sum()) for p in i)
-        inner = si + sj + across
-        total += inner / (wi + wj) - (si / wi + sj / wj)
-        held[left] = (np.concatenate([i, j]), wi + wj, inner)
-        home.update(dict.fromkeys(j.tolist(), left))
+        i, j = home[a], home[b]
+        inner = inside[i] + inside[j] + across[i, j]
+        total += inner / (weight[i] + weight[j]) - (inside[i] / weight[i] + inside[j] / weight[j])
+        weight[i], inside[i] = weight[i] + weight[j], inner
+        across[i] += across[j]
+        across[:, i] += across[:, j]
+        home[home == j] = i
         curve[len(x) - done] = total
     y = np.array([curve[k] for k in range(1, most + 1)])
     if most < 3 or np.ptp(y) == 0:
@@ -446,78 +528,103 @@ def merge_similar(profile: np.ndarray, labels: np.ndarray, size: np.ndarray, thr
     return np.unique(reach.argmax(axis=1), return_inverse=True)[1][at] + 1
 
 
+def split_nodes(x: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+    """The node of every row: the node of largest spread is halved at the mean of its widest column, until there are ``most`` nodes or all rows of a node are equal."""
+    node = np.zeros(len(x), dtype=int)
+
+    def spread(rows: np.ndarray) -> tuple[float, int, float]:
+        w = size[rows] / size[rows].sum()
+        mean = w @ x[rows]
+        var = np.where(np.ptp(x[rows], axis=0) > 0, w @ (x[rows] - mean) ** 2, 0.0)
+        widest = int(var.argmax())
+        return float(var.sum() * size[rows].sum()), widest, float(mean[widest])
+
+    heap, members = [], {0: np.arange(len(x))}
+    value, column, middle = spread(members[0])
+    heapq.heappush(heap, (-value, 0, column, middle))
+    while heap and len(members) < most:
+        value, at, column, middle = heapq.heappop(heap)
+        if value == 0:
+            break
+        rows = members[at]
+        low = x[rows, column] <= middle
+        if low.all():  # the mean was rounded up to the largest value
+            low = x[rows, column] < x[rows, column].max()
+        for name, part in ((at, rows[low]), (len(members), rows[~low])):
+            members[name] = part
+            node[part] = name
+            value, column, middle = spread(part)
+            heapq.heappush(heap, (-value, name, column, middle))
+    return node
+
+
+LANE_ROWS = 20_000
+
+
+def _summaries(points: DataFrame, most: int) -> DataFrame:
+    """Summaries of every (sample_id, lane): a row (key, node) for each point and a row (node, x, size) for each node.
+
+    A node stands for its members by their weighted mean, and is named by its smallest key.
+    """
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("key", ignore_index=True)
+        x, size = np.vstack(pdf["x"].to_numpy()), pdf["size"].to_numpy(float)
+        at = split_nodes(x, size, most)
+        first = pd.Series(np.arange(len(at))).groupby(at).min().to_numpy()
+        weight = np.bincount(at, weights=size)
+        mean = np.zeros((len(weight), x.shape[1]))
+        np.add.at(mean, at, x * size[:, None])
+        mean = np.where((np.bincount(at) == 1)[:, None], x[first], mean / weight[:, None])
+        names = pdf["key"].to_numpy()[first]
+        own = pd.DataFrame({"sample_id": pdf["sample_id"], "lane": pdf["lane"], "key": pdf["key"], "node": names[at], "x": None, "size": np.nan})
+        held = pd.DataFrame({"sample_id": pdf["sample_id"].iloc[0], "lane": pdf["lane"].iloc[0], "key": None, "node": names, "x": list(mean), "size": weight})
+        return pd.concat([own, held])
+
+    kind = dict(points.dtypes)["sample_id"]
+    return cut(points.groupBy("sample_id", "lane").applyInPandas(run, f"sample_id {kind}, lane int, key string, node string, x array<double>, size double"))
+
+
 def cluster_cells(cells: DataFrame, names: Sequence[str], cfg: CnvConfig) -> DataFrame:
     """Cluster number per cell within its sample.
 
-    Samples up to ``exact_cluster_cells`` are clustered cell by cell.  Larger samples are
-    first reduced to that many weighted group means (each cell joins its nearest leader),
-    so no task ever holds a whole large sample and every cell still gets a label.
+    Every sample is first brought to at most ``cluster_nodes`` weighted means by a mergeable tree: cells of a lane of about ``LANE_ROWS``
+    are halved along their widest windows, lanes are joined a few at a time and halved again.  Equal cells share a node,
+    and a sample with no more different cells than nodes is clustered exactly; no task holds a whole large sample.
     """
     arm_of = [("X" if w.split(".")[0] == "23" else w.split(".")[0]) + "." + w.split(".", 1)[1][0] for w in names]
     arms = sorted(set(arm_of))
     to_arm = np.zeros((len(names), len(arms)))
     for i, a in enumerate(arm_of):
         to_arm[i, arms.index(a)] = 1.0 / arm_of.count(a)
-    cells = cut(cells.select("obs_id", "sample_id", "trimmed"))
-    sizes = cells.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"))
-    large = cut(sizes.where(F.col("n") > cfg.exact_cluster_cells).select("sample_id"))
-    small_points = cells.join(large, "sample_id", "left_anti").select(
-        "sample_id", F.col("obs_id").cast("string").alias("node"), F.col("trimmed").alias("x"), F.lit(1.0).alias("size"), F.array("obs_id").alias("members")
-    )
-    if large.limit(1).count():
-        points, owner = _leader_groups(cells.join(large, "sample_id", "left_semi"), cfg.exact_cluster_cells)
-        nodes = small_points.select("sample_id", "node", "x", "size").unionByName(points)
-        owners = small_points.select("sample_id", "node", F.explode("members").alias("obs_id")).unionByName(owner)
-    else:
-        nodes, owners = small_points.select("sample_id", "node", "x", "size"), small_points.select("sample_id", "node", F.explode("members").alias("obs_id"))
+    cells = cells.select("obs_id", "sample_id", F.col("obs_id").cast("string").alias("key"), F.col("trimmed").alias("x"), F.lit(1.0).alias("size"))
+    sizes = cut(cells.groupBy("sample_id").agg(F.ceil(F.count(F.lit(1)) / float(LANE_ROWS)).cast("int").alias("lanes")))
+    lanes = sizes.agg(F.max("lanes")).head()[0] or 1
+    dealt = cells.join(sizes, "sample_id").withColumn("lane", F.pmod(F.xxhash64("obs_id"), F.col("lanes")).cast("int"))
+    found = _summaries(dealt.select("sample_id", "lane", "key", "x", "size"), cfg.cluster_nodes)
+    owners = found.where("key IS NOT NULL").select("sample_id", "key", "node")
+    nodes = found.where("key IS NULL").select("sample_id", "lane", F.col("node").alias("key"), "x", "size")
+    fan = max(2, LANE_ROWS // cfg.cluster_nodes)
+    while lanes > 1:
+        found = _summaries(nodes.withColumn("lane", F.floor(F.col("lane") / fan).cast("int")), cfg.cluster_nodes)
+        step = found.where("key IS NOT NULL").select("sample_id", F.col("key").alias("node"), F.col("node").alias("next"))
+        owners = cut(owners.join(step, ["sample_id", "node"]).select("sample_id", "key", F.col("next").alias("node")))
+        nodes = found.where("key IS NULL").select("sample_id", "lane", F.col("node").alias("key"), "x", "size")
+        lanes = -(-lanes // fan)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node", ignore_index=True)
+        pdf = pdf.sort_values("key", ignore_index=True)
         x, size = np.vstack(pdf["x"].to_numpy()), pdf["size"].to_numpy(float)
         labels = np.ones(len(x), dtype=int)
         if len(x) >= 2:
             merges = ward_merges(x, size)
             labels = cut_merges(merges, len(x), cfg.cluster_k or elbow_k(x, size, merges))
             labels = merge_similar(x @ to_arm, labels, size, cfg.merge_threshold)
-        return pdf[["sample_id", "node"]].assign(cnv_cluster=labels.astype("int32"))
+        return pdf[["sample_id"]].assign(node=pdf["key"], cnv_cluster=labels.astype("int32"))
 
     kind = dict(cells.dtypes)["sample_id"]
-    found = nodes.groupBy("sample_id").applyInPandas(run, f"sample_id {kind}, node string, cnv_cluster int")
-    return owners.join(found, ["sample_id", "node"]).select("obs_id", "sample_id", "cnv_cluster")
-
-
-def _leader_groups(cells: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Reduce each sample to at most ``limit`` weighted means around hash-chosen leaders."""
-    pick = Window.partitionBy("sample_id").orderBy(F.xxhash64("obs_id"), "obs_id")
-    leaders = cut(cells.withColumn("_r", F.row_number().over(pick)).where(F.col("_r") <= limit).select(
-        "sample_id", F.col("_r").alias("lead"), F.col("trimmed").alias("lx")
-    ))
-    packs = leaders.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("lead", "lx"))).alias("leaders"))
-    kind = dict(cells.dtypes)
-    most = cells.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).head()[0] or 1
-    spread = max(1, -(-int(most) // 20_000))
-    salted = cells.withColumn("_salt", F.pmod(F.xxhash64("obs_id"), F.lit(spread)).cast("int"))
-    packs = packs.select(F.col("sample_id").alias("_s"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_lane"), "leaders")
-
-    def nearest(left, right):
-        if not len(left) or not len(right):
-            return pd.DataFrame({"sample_id": [], "obs_id": [], "lead": []}).astype({"lead": "int32"})
-        lx = np.vstack([r["lx"] for r in right["leaders"].iloc[0]])
-        out = np.empty(len(left), dtype="int32")
-        x = np.vstack(left["trimmed"].to_numpy())
-        for i, row in enumerate(x):
-            out[i] = int(np.argmin(np.abs(lx - row).sum(axis=1))) + 1
-        return left[["sample_id", "obs_id"]].assign(lead=out)
-
-    schema = f"sample_id {kind['sample_id']}, obs_id {kind['obs_id']}, lead int"
-    owner = cut(salted.groupBy("sample_id", "_salt").cogroup(packs.groupBy("_s", "_lane")).applyInPandas(nearest, schema))
-    owner = owner.withColumn("node", F.format_string("L%06d", "lead"))
-    long = cells.join(owner, ["sample_id", "obs_id"]).select("sample_id", "node", F.posexplode("trimmed").alias("w", "s"))
-    means = long.groupBy("sample_id", "node", "w").agg(F.avg("s").alias("m"), F.count(F.lit(1)).cast("double").alias("k"))
-    points = means.groupBy("sample_id", "node").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("w", "m"))), lambda e: e["m"]).alias("x"), F.max("k").alias("size")
-    )
-    return points, owner.select("sample_id", "node", "obs_id")
+    labelled = nodes.groupBy("sample_id").applyInPandas(run, f"sample_id {kind}, node string, cnv_cluster int")
+    keyed = cells.select("obs_id", "sample_id", "key").join(owners, ["sample_id", "key"])
+    return keyed.join(labelled, ["sample_id", "node"]).select("obs_id", "sample_id", "cnv_cluster")
 
 
 # ---------------------------------------------------------------- whole runs

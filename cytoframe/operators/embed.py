@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoframe.functions.ordered import exact_quantiles, running_sums
-from cytoframe.functions.partials import matrix_sums
+from cytoframe.functions.partials import Rows, matrix_sums
 from cytoframe.operators.matrix import gene_moments, row_count
 from cytoframe.session import cut
 
@@ -284,25 +284,93 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def _one_hot(pdf: pd.DataFrame, levels: list[list[str]]) -> np.ndarray:
-    cols = [np.asarray(pdf[f"b{i}"])[:, None] == np.asarray(lv)[None, :] for i, lv in enumerate(levels)]
-    return np.hstack(cols).astype(float)
+def _codes(pdf: pd.DataFrame, variables: int) -> np.ndarray:
+    """Level numbers of each cell, one column a batch variable; levels of all variables are numbered on."""
+    return pdf[[f"b{i}" for i in range(variables)]].to_numpy(np.int64)
 
 
-def _memberships(z: np.ndarray, phi: np.ndarray, state: dict) -> np.ndarray:
+def _memberships(z: np.ndarray, codes: np.ndarray, state: dict) -> np.ndarray:
     """Soft cluster weights; clusters already rich in a cell's batch are penalised."""
     score = -2.0 * (1.0 - _unit(z) @ state["y"].T) / state["sigma"]
-    score = score + phi @ state["log_penalty"].T
+    for column in codes.T:
+        score += state["log_penalty"][column]
     score -= score.max(axis=1, keepdims=True)
     r = np.exp(score)
     return r / r.sum(axis=1, keepdims=True)
 
 
 def _penalty(observed: np.ndarray, size: np.ndarray, share: np.ndarray, theta: float) -> np.ndarray:
-    expected = size[:, None] * share[None, :]
+    """(levels, clusters)."""
+    expected = share[:, None] * size[None, :]
     return theta * np.log((expected + 1.0) / (observed + 1.0))
 
 
+def _level_moments(r: np.ndarray, x: np.ndarray, codes: np.ndarray) -> dict[str, np.ndarray | Rows]:
+    """Sums of a ridge fit on batch levels: cluster weights and weighted vectors in all and by level, weights by pairs of levels."""
+    out: dict[str, np.ndarray | Rows] = {"r": r.sum(axis=0, keepdims=True), "rx": r.T @ x}
+    held, moments = [], []
+    for column in codes.T:
+        order = np.argsort(column, kind="stable")
+        levels, first = np.unique(column[order], return_index=True)
+        held.append(levels)
+        moments += [(r[rows].T @ x[rows]).ravel() for rows in np.split(order, first[1:])]
+    out["o"] = Rows.by(codes.T.ravel(), np.tile(r, (codes.shape[1], 1)))
+    out["ox"] = Rows(np.concatenate(held), np.array(moments))
+    if codes.shape[1] > 1:
+        pairs = [codes[:, i] << 32 | codes[:, j] for i in range(codes.shape[1]) for j in range(i)]
+        out["pair"] = Rows.by(np.concatenate(pairs), np.tile(r, (len(pairs), 1)))
+    return out
+
+
+def level_coefficients(m: dict[str, np.ndarray | Rows], addend: np.ndarray, variables: int, everywhere: bool, tol: float = 1e-12, most: int = 500) -> np.ndarray:
+    """Coefficients (levels, clusters, components) of the ridge fit with an intercept, from the sums of ``_level_moments``.
+
+    With one variable the system of a cluster is an arrow (the intercept and a diagonal) and is solved in closed form;
+    with several, conjugate gradients run on all clusters and components at once over the levels and the pairs of levels that occur,
+    so no levels x levels matrix is made.  ``everywhere``: the penalties are added to every row of the system instead of its
+    diagonal; its solutions are those without a penalty, and of these the one whose penalty-weighted sum is 0.
+    """
+    lam = addend[1:, None]
+    o = m["o"].dense(len(lam))
+    ox = m["ox"].dense(len(lam)).reshape(len(lam), o.shape[1], -1)
+    size, x = m["r"][0], m["rx"]
+    if variables == 1 and everywhere:
+        mean = ox / o[:, :, None]
+        return mean - (lam[:, :, None] * mean).sum(axis=0) / max(float(lam.sum()), 1e-300)
+    if variables == 1:
+        held = np.where(o + lam > 0, o + lam, 1.0)
+        rest = size - (o * o / held).sum(axis=0)
+        solved = rest > 1e-12 * np.maximum(size, 1e-300)
+        start = np.where(solved[:, None], (x - (o[:, :, None] * ox / held[:, :, None]).sum(axis=0)) / np.where(solved, rest, 1.0)[:, None], 0.0)
+        return (ox - o[:, :, None] * start[None]) / held[:, :, None]
+    left, right, both = m["pair"].ids >> 32, m["pair"].ids & 0xFFFFFFFF, m["pair"].values[:, :, None]
+    ridge = np.zeros_like(lam) if everywhere else lam
+
+    def times(u0, u):
+        out = o[:, :, None] * (u0[None] + u) + ridge[:, :, None] * u
+        np.add.at(out, left, both * u[right])
+        np.add.at(out, right, both * u[left])
+        return size[:, None] * u0 + (o[:, :, None] * u).sum(axis=0), out
+
+    dot = lambda a0, a, b0, b: a0 * b0 + (a * b).sum(axis=0)
+    u0, u, r0, r = np.zeros_like(x), np.zeros_like(ox), x.copy(), ox.copy()
+    p0, p, gap = r0, r, dot(r0, r, r0, r)
+    goal = tol**2 * np.maximum(gap, 1e-300)
+    for _ in range(most):
+        if (gap <= goal).all():
+            break
+        q0, q = times(p0, p)
+        along = dot(p0, p, q0, q)
+        step = np.where((gap > goal) & (along > 0), gap / np.where(along > 0, along, 1.0), 0.0)
+        u0, u, r0, r = u0 + step * p0, u + step * p, r0 - step * q0, r - step * q
+        after = dot(r0, r, r0, r)
+        turn = after / np.where(gap > 0, gap, 1.0)
+        p0, p, gap = r0 + turn * p0, r + turn * p, after
+    if everywhere:  # moving the intercept against all levels of a variable changes nothing
+        u = u - (lam[:, :, None] * u).sum(axis=0) / max(float(lam.sum()), 1e-300)
+    return u
+
+
 def _initial_centres(cells: DataFrame, k: int, seed: int) -> np.ndarray:
     from pyspark.ml.clustering import KMeans
 
@@ -311,17 +379,6 @@ def _initial_centres(cells: DataFrame, k: int, seed: int) -> np.ndarray:
     return _unit(np.array(model.clusterCenters()))
 
 
-def ridge_coefficients(gram: np.ndarray, rhs: np.ndarray, addend: np.ndarray) -> np.ndarray:
-    """Per cluster solve (gram + addend) w = rhs with the intercept row removed afterwards.
-
-    ``addend`` is a vector added to every row of the Gram matrix, or a square matrix.
-    """
-    shift = addend[None, None, :] if addend.ndim == 1 else addend[None, :, :]
-    coef = np.linalg.solve(gram + shift, rhs)
-    coef[:, 0, :] = 0.0
-    return coef
-
-
 def penalty_vector(lam: float | Sequence[float], level_counts: Sequence[int]) -> np.ndarray:
     """0 for the intercept, then one value per level (scalar, per variable, or per level)."""
     given, total = np.ravel(np.asarray(lam, dtype=float)), int(np.sum(level_counts))
@@ -332,14 +389,18 @@ def penalty_vector(lam: float | Sequence[float], level_counts: Sequence[int]) ->
     return np.r_[0.0, np.repeat(given, total if len(given) == 1 else times[len(given)])]
 
 
-def _levels(obs: DataFrame, keys: Sequence[str]) -> list[list[str]]:
-    found = []
-    for key in keys:
-        names = [r[0] for r in obs.select(F.col(key).cast("string").alias("b")).distinct().orderBy("b").limit(20_001).collect()]
+def _numbered(obs: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[int]]:
+    """(obs_id, b0, b1, ...): level numbers of each batch variable, on from the variable before; and the numbers of levels.  A null is a level."""
+    spark, counts = obs.sparkSession, []
+    out = obs.select("obs_id", *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"n{i}") for i, k in enumerate(keys)])
+    for i, key in enumerate(keys):
+        names = sorted(r[0] for r in out.select(f"n{i}").distinct().limit(20_001).collect())
         if len(names) > 20_000:
             raise ValueError(f"batch variable {key} has too many levels")
-        found.append(names)
-    return found
+        table = spark.createDataFrame([(n, j + sum(counts)) for j, n in enumerate(names)], f"n{i} string, b{i} bigint")
+        out = out.join(F.broadcast(table), f"n{i}").drop(f"n{i}")
+        counts.append(len(names))
+    return out, counts
 
 
 def harmony(
@@ -348,59 +409,54 @@ def harmony(
 ) -> tuple[DataFrame, DataFrame | None]:
     """(corrected vectors, memberships (obs_id, r)): soft clusters balanced over batches, then a linear shift per cluster.
 
-    Every round is one pass that adds up clusters x components and clusters x batches
-    sums.  Corrected vectors are written to the checkpoint folder once per outer round.
+    Every round is one pass that adds up clusters x components and levels x clusters sums; tasks send only levels they hold.
+    Corrected vectors are written to the checkpoint folder once per outer round.
     """
     keys = [k for k in batch_keys if k in obs.columns]
-    levels = [lv for lv in _levels(obs, keys)]
-    keys = [k for k, lv in zip(keys, levels) if len(lv) > 1]
-    levels = [lv for lv in levels if len(lv) > 1]
-    if not keys:
+    tags, counts = _numbered(obs, keys)
+    several = [k for k, c in zip(keys, counts, strict=True) if c > 1]
+    if not several:
         return vectors.select("obs_id", "v"), None
-    tags = [F.col(k).cast("string").alias(f"b{i}") for i, k in enumerate(keys)]
-    names = [f"b{i}" for i in range(len(keys))]
-    cells = cut(vectors.select("obs_id", "v", F.col("v").alias("z0")).join(obs.select("obs_id", *tags), "obs_id"))
+    if len(several) < len(keys):
+        keys = several
+        tags, counts = _numbered(obs, keys)
+    names, variables = [f"b{i}" for i in range(len(keys))], len(keys)
+    cells = cut(vectors.select("obs_id", "v", F.col("v").alias("z0")).join(tags, "obs_id"))
     n = cells.count()
     k = max(1, min(int(round(n / 30.0)), 100))
-    counts = matrix_sums(cells, lambda pdf: {"b": _one_hot(pdf, levels).sum(axis=0, keepdims=True)})["b"][0]
-    share = counts / n
-    addend = penalty_vector(lam, [len(lv) for lv in levels])
-    state = {"y": _initial_centres(cells, k, seed), "sigma": sigma, "log_penalty": np.zeros((k, len(share)))}
+    held = matrix_sums(cells, lambda pdf: {"b": Rows.by(_codes(pdf, variables).T.ravel(), np.ones((len(pdf) * variables, 1)))})["b"]
+    share = held.dense(sum(counts))[:, 0] / n
+    addend = penalty_vector(lam, counts)
+    state = {"y": _initial_centres(cells, k, seed), "sigma": sigma, "log_penalty": np.zeros((len(share), k))}
     before = np.inf
     for outer in range(max_iter):
         for _ in range(rounds):
             now = dict(state)
 
             def assign(pdf, s=now):
-                z, phi = _stack(pdf["v"]), _one_hot(pdf, levels)
-                r = _memberships(z, phi, s)
+                z, codes = _stack(pdf["v"]), _codes(pdf, variables)
+                r = _memberships(z, codes, s)
                 u = _unit(z)
                 spread = (r * 2.0 * (1.0 - u @ s["y"].T)).sum() + s["sigma"] * (r * np.log(np.maximum(r, 1e-12))).sum()
-                return {"ru": r.T @ u, "o": r.T @ phi, "r": r.sum(axis=0, keepdims=True), "cost": np.array([[spread]])}
+                return {"ru": r.T @ u, "o": Rows.by(codes.T.ravel(), np.tile(r, (variables, 1))), "r": r.sum(axis=0, keepdims=True), "cost": np.array([[spread]])}
 
             s = matrix_sums(cells, assign)
-            state = {"y": _unit(s["ru"]), "sigma": sigma, "log_penalty": _penalty(s["o"], s["r"][0], share, theta)}
+            state = {"y": _unit(s["ru"]), "sigma": sigma, "log_penalty": _penalty(s["o"].dense(len(share)), s["r"][0], share, theta)}
         final = dict(state)
 
         def moments(pdf, s=final):
-            phi = _one_hot(pdf, levels)
-            r = _memberships(_stack(pdf["v"]), phi, s)
-            full = np.hstack([np.ones((len(pdf), 1)), phi])
-            x = _stack(pdf["z0"])
-            gram = np.einsum("nk,np,nq->kpq", r, full, full, optimize=True)
-            return {"gram": gram, "rhs": np.einsum("nk,np,nd->kpd", r, full, x, optimize=True)}
-
-        m = matrix_sums(cells, moments)
-        ridge = np.diag(addend)
-        coef = ridge_coefficients(m["gram"], m["rhs"], ridge)
-
-        def shift(batches, s=final, w=coef):
+            codes = _codes(pdf, variables)
+            return _level_moments(_memberships(_stack(pdf["v"]), codes, s), _stack(pdf["z0"]), codes)
+
+        coef = level_coefficients(matrix_sums(cells, moments), addend, variables, everywhere=False)
+        sent = cells.sparkSession.sparkContext.broadcast(coef)
+
+        def shift(batches, s=final, w=sent):
             for pdf in batches:
                 if len(pdf):
-                    phi = _one_hot(pdf, levels)
-                    r = _memberships(_stack(pdf["v"]), phi, s)
-                    fix = np.einsum("nk,np,kpd->nd", r, phi, w[:, 1:, :], optimize=True)
-                    yield pdf.assign(v=list(_stack(pdf["z0"]) - fix), r=list(r))
+                    codes = _codes(pdf, variables)
+                    r = _memberships(_stack(pdf["v"]), codes, s)
+                    yield pdf.assign(v=list(_stack(pdf["z0"]) - _level_effects(r, codes, w.value)), r=list(r))
 
         kinds = dict(cells.dtypes)
         schema = ", ".join(f"{c} {kinds[c]}" for c in ["obs_id", "v", "z0", *names]) + ", r array<double>"
@@ -412,33 +468,26 @@ def harmony(
     return cells.select("obs_id", "v"), cells.select("obs_id", "r")
 
 
+def _level_effects(r: np.ndarray, codes: np.ndarray, coef: np.ndarray) -> np.ndarray:
+    """What the levels of each cell add in its clusters."""
+    out = np.zeros((len(r), coef.shape[2]))
+    for column in codes.T:
+        order = np.argsort(column, kind="stable")
+        levels, first = np.unique(column[order], return_index=True)
+        for level, rows in zip(levels, np.split(order, first[1:]), strict=True):
+            out[rows] += r[rows] @ coef[level]
+    return out
+
+
 def correct_expression(rows: DataFrame, memberships: DataFrame, obs: DataFrame, batch_keys: Sequence[str], lam: float | Sequence[float] = 1.0) -> DataFrame:
     """Remove each cluster's batch effects from gene vectors (obs_id, v); negatives become 0.
 
-    One pass adds the cluster x design x gene sums, a handful of small systems is solved,
-    and a second pass subtracts.  The penalty vector is added to every Gram row.
+    One pass adds the level x cluster x gene sums and a second pass subtracts.  The penalty vector is
+    added to every row of the system.
     """
-    levels = _levels(obs, batch_keys)
-    tags = [F.col(k).cast("string").alias(f"b{i}") for i, k in enumerate(batch_keys)]
-    cells = cut(rows.select("obs_id", "v").join(memberships.select("obs_id", "r"), "obs_id").join(obs.select("obs_id", *tags), "obs_id"))
-    addend = penalty_vector(lam, [len(lv) for lv in levels])
-
-    def moments(pdf):
-        full = np.hstack([np.ones((len(pdf), 1)), _one_hot(pdf, levels)])
-        r, x = _stack(pdf["r"]), _stack(pdf["v"])
-        return {
-            "gram": np.einsum("nk,np,nq->kpq", r, full, full, optimize=True),
-            "rhs": np.stack([(r * full[:, p : p + 1]).T @ x for p in range(full.shape[1])], axis=1),
-        }
-
-    m = matrix_sums(cells, moments)
-    coef = ridge_coefficients(m["gram"], m["rhs"], addend)
-
-    def subtract(x, pdf):
-        phi, r = _one_hot(pdf, levels), _stack(pdf["r"])
-        fixed = x.copy()
-        for p in range(phi.shape[1]):
-            fixed -= (r * phi[:, p : p + 1]) @ coef[:, p + 1, :]
-        return np.maximum(fixed, 0.0)
-
-    return map_vectors(cells, subtract, ["obs_id"])
+    tags, counts = _numbered(obs, batch_keys)
+    variables = len(counts)
+    cells = cut(rows.select("obs_id", "v").join(memberships.select("obs_id", "r"), "obs_id").join(tags, "obs_id"))
+    m = matrix_sums(cells, lambda pdf: _level_moments(_stack(pdf["r"]), _stack(pdf["v"]), _codes(pdf, variables)))
+    sent = cells.sparkSession.sparkContext.broadcast(level_coefficients(m, penalty_vector(lam, counts), variables, everywhere=True))
+    return map_vectors(cells, lambda x, pdf: np.maximum(x - _level_effects(_stack(pdf["r"]), _codes(pdf, variables), sent.value), 0.0), ["obs_id"])

@@ -49,21 +49,44 @@ def usage_rows(x: np.ndarray, h: np.ndarray) -> np.ndarray:
     return nonnegative_rows(x @ h.T, h @ h.T)
 
 
+def leading_directions(rows: DataFrame, k: int, genes: int, passes: int = 12, extra: int = 10, tol: float = 1e-6, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``k`` singular values and right singular vectors (genes x k) of the rows, by a randomised range finder.
+
+    A pass adds up x' (x Q) for a narrow basis Q of k + ``extra`` directions, so that sums are genes x directions and
+    never genes x genes; the new basis is the orthonormal range of that sum.  It ends when the singular values have settled.
+    """
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(genes, min(genes, k + extra))))[0]
+    before = np.zeros(k)
+    for _ in range(passes):
+        def part(pdf, q=q):
+            x = _stack(pdf["v"])
+            y = x @ q
+            return {"z": x.T @ y, "b": y.T @ y}
+
+        s = matrix_sums(rows, part)
+        val, vec = np.linalg.eigh(s["b"])
+        missing = max(0, k - len(val))
+        now = np.pad(np.sqrt(np.maximum(val[::-1], 0.0)), (0, missing))[:k]
+        found = np.pad(q @ vec[:, ::-1], ((0, 0), (0, missing)))[:, :k]
+        if np.abs(now - before).max() <= tol * max(now[0], 1e-300):
+            break
+        before, q = now, np.linalg.qr(s["z"])[0]
+    return now, found
+
+
 def _initial_spectra(rows: DataFrame, k_values: Sequence[int], seeds: Sequence[int], init: str) -> dict:
     """Starting spectra per (k, seed): seeded random, or from the SVD with its zeros filled around the mean by seed."""
-    first = matrix_sums(rows, lambda pdf: {"g": _stack(pdf["v"]).T @ _stack(pdf["v"]), "s": _stack(pdf["v"]).sum(axis=0, keepdims=True), "n": np.array([[len(pdf)]])})
-    gram, n = first["g"], first["n"][0, 0]
-    mean = first["s"].sum() / (n * gram.shape[0])
+    first = matrix_sums(rows, lambda pdf: {"s": _stack(pdf["v"]).sum(axis=0, keepdims=True), "n": np.array([[len(pdf)]])})
+    n, genes = first["n"][0, 0], first["s"].shape[1]
+    mean = first["s"].sum() / (n * genes)
     if init == "random":
         out = {}
         for k in k_values:
             for seed in seeds:
                 rng = np.random.default_rng(int(seed) * 1_000_003 + int(k))
-                out[(k, seed)] = np.abs(rng.normal(size=(k, gram.shape[0]))) * np.sqrt(mean / k)
+                out[(k, seed)] = np.abs(rng.normal(size=(k, genes))) * np.sqrt(mean / k)
         return out
-    val, vec = np.linalg.eigh(gram)
-    order = np.argsort(val)[::-1][: max(k_values)]
-    s, v = np.sqrt(np.maximum(val[order], 0.0)), vec[:, order]
+    s, v = leading_directions(rows, max(k_values), genes)
     safe = np.where(s > 0, s, 1.0)
 
     def halves(pdf):
@@ -72,7 +95,7 @@ def _initial_spectra(rows: DataFrame, k_values: Sequence[int], seeds: Sequence[i
 
     sides = matrix_sums(rows, halves)
     up, um = np.sqrt(sides["p"][0]), np.sqrt(sides["m"][0])
-    full = np.zeros((len(s), gram.shape[0]))
+    full = np.zeros((len(s), genes))
     for j in range(len(s)):
         vp, vm = np.maximum(v[:, j], 0.0), np.maximum(-v[:, j], 0.0)
         pos, neg = up[j] * np.linalg.norm(vp), um[j] * np.linalg.norm(vm)
@@ -323,6 +346,105 @@ def consensus_refit(
     return median, tpm, usage(scaled, tpm)
 
 
+# ---------------------------------------------------------------- consensus of every k
+def silhouette(x: np.ndarray, label: np.ndarray) -> float:
+    """Mean silhouette width by Euclidean distance; a point alone in its cluster counts 0."""
+    names, at = np.unique(label, return_inverse=True)
+    if len(names) < 2:
+        return 0.0
+    d = np.sqrt(np.maximum(((x[:, None, :] - x[None]) ** 2).sum(axis=2), 0.0))
+    size = np.bincount(at)
+    total = np.stack([d[:, at == c].sum(axis=1) for c in range(len(names))], axis=1)
+    own = total[np.arange(len(x)), at] / np.maximum(size[at] - 1, 1)
+    total = total / size
+    total[np.arange(len(x)), at] = np.inf
+    other = total.min(axis=1)
+    return float(np.where(size[at] > 1, (other - own) / np.maximum(np.maximum(own, other), 1e-300), 0.0).mean())
+
+
+MEDIANS = "k int, program int, spectrum array<double>, n_spectra int, n_kept int, silhouette double"
+
+
+def consensus_medians(table: DataFrame, density_threshold: float = 0.5, neighbourhood: float = 0.30) -> DataFrame:
+    """Median spectra of the clusters of every k's replicate spectra, and the silhouette width of these clusters; one task a k over its seeds x k rows."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        k = int(pdf["k"].iloc[0])
+        merged = _stack(pdf.sort_values(["seed", "component"])["spectrum"])
+        unit = merged / np.linalg.norm(merged, axis=1, keepdims=True)
+        kept = unit[density_filter(merged, k, density_threshold, neighbourhood)]
+        if len(kept) < k:
+            raise ValueError("too few spectra remain after density filtering")
+        label = _kmeans(kept, k)
+        median = np.array([np.median(kept[label == c], axis=0) for c in np.unique(label)])
+        median = median / median.sum(axis=1, keepdims=True)
+        return pd.DataFrame({"k": k, "program": range(1, len(median) + 1), "spectrum": list(median), "n_spectra": len(merged), "n_kept": len(kept), "silhouette": silhouette(kept, label)})
+
+    return table.groupBy("k").applyInPandas(run, MEDIANS)
+
+
+def _medians(found: DataFrame) -> dict[int, np.ndarray]:
+    """At most k spectra a k."""
+    return {int(k): _stack(part.sort_values("program")["spectrum"]) for k, part in found.select("k", "program", "spectrum").toPandas().groupby("k")}
+
+
+def k_selection(rows: DataFrame, table: DataFrame, neighbourhood: float = 0.30) -> DataFrame:
+    """(k, silhouette, prediction_error, n_spectra) of every k: stability of all replicate spectra, and the squared error of the counts around usages of their medians.
+
+    The clusterings of all k are tasks of one job, the errors of all k are sums of one pass over the cells.
+    """
+    found = cut(consensus_medians(table, density_threshold=2.0, neighbourhood=neighbourhood))
+    medians = _medians(found)
+
+    def part(pdf):
+        x = _stack(pdf["v"])
+        return {str(k): np.array([[float(((x - usage_rows(x, h) @ h) ** 2).sum())]]) for k, h in medians.items()}
+
+    errors = [(int(k), float(e[0, 0])) for k, e in matrix_sums(rows, part).items()]
+    told = rows.sparkSession.createDataFrame(errors, "k int, prediction_error double")
+    return found.groupBy("k").agg(F.first("silhouette").alias("silhouette"), F.first("n_spectra").alias("n_spectra")).join(told, "k").select("k", "silhouette", "prediction_error", "n_spectra")
+
+
+def consensus_all(
+    rows: DataFrame, tpm_rows: DataFrame, table: DataFrame, density_threshold: float = 0.5, neighbourhood: float = 0.30,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``consensus_refit`` of every k in the same passes: (k, program, spectrum), (k, program, tpm_spectrum), usages (k, obs_id, v)."""
+    medians = _medians(cut(consensus_medians(table, density_threshold, neighbourhood)))
+
+    def shares(x, h):
+        w = usage_rows(x, h)
+        return w / np.maximum(w.sum(axis=1, keepdims=True), 1e-300)
+
+    weight = matrix_sums(rows, lambda pdf: {str(k): shares(_stack(pdf["v"]), h).sum(axis=0, keepdims=True) for k, h in medians.items()})
+    medians = {k: h[np.argsort(-weight[str(k)][0], kind="stable")] for k, h in medians.items()}
+    both = cut(rows.select("obs_id", "v").join(tpm_rows.select("obs_id", F.col("v").alias("t")), "obs_id"))
+
+    def sums(pdf):
+        x, t = _stack(pdf["v"]), _stack(pdf["t"])
+        out = {"s1": t.sum(axis=0, keepdims=True), "s2": (t * t).sum(axis=0, keepdims=True), "n": np.array([[len(pdf)]])}
+        for k, h in medians.items():
+            u = shares(x, h)
+            out[f"a{k}"], out[f"b{k}"] = u.T @ u, u.T @ t
+        return out
+
+    s = matrix_sums(both, sums)
+    n = s["n"][0, 0]
+    centred = np.maximum(s["s2"][0] - s["s1"][0] ** 2 / n, 0.0)
+    population, sample = (np.where(x > 0, x, 1.0) for x in (np.sqrt(centred / n), np.sqrt(centred / max(n - 1, 1))))
+    tpm = {k: nonnegative_rows(s[f"b{k}"].T, s[f"a{k}"], sweeps=200).T / population for k in medians}
+    kind = dict(both.dtypes)["obs_id"]
+
+    def refit(batches):
+        for pdf in batches:
+            if len(pdf):
+                t = _stack(pdf["t"]) / sample
+                for k, h in tpm.items():
+                    yield pdf[["obs_id"]].assign(k=np.int32(k), v=list(usage_rows(t, h)))
+
+    listed = lambda name, of: rows.sparkSession.createDataFrame([(k, i + 1, [float(x) for x in r]) for k, h in of.items() for i, r in enumerate(h)], f"k int, program int, {name} array<double>")
+    return listed("spectrum", medians), listed("tpm_spectrum", tpm), both.mapInPandas(refit, f"obs_id {kind}, k int, v array<double>").select("k", "obs_id", "v")
+
+
 # ---------------------------------------------------------------- comparing program sets
 def program_cosines(reference: DataFrame, candidate: DataFrame) -> DataFrame:
     """Cosine of every reference / candidate program pair over their common genes (zero norm gives 0)."""

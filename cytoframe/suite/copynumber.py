@@ -17,7 +17,7 @@ from cytoframe.suite import query
 
 def with_ctes(*parts: str) -> str:
     """``window`` is a keyword for DuckDB and needs quotes there."""
-    return re.sub(r"\bwindow\b", '"window"', _with_ctes(*parts))
+    return re.sub(r"\bwindow\b", '"window"', _with_ctes(*parts)).replace(" AS (", " AS MATERIALIZED (")
 
 
 CFG = cnv.CnvConfig(window_size=4, window_step=2, top_n_genes=300, threshold_percentile=0.05)

@@ -49,7 +49,26 @@ def communities(m):
 
 @query("m07_communities_distributed")
 def communities_distributed(m):
-    return graph.communities(edges(m), [(1.0, 0)], small_edges=4000)
+    return graph.communities(edges(m), [(1.0, 0)])
+
+
+HUBS = (
+    "size AS (SELECT c_nationkey, count(*) AS n, min(c_custkey) AS first FROM customer GROUP BY 1)",
+    "place AS (SELECT c_nationkey, CAST(row_number() OVER (ORDER BY n DESC, first) - 1 AS INTEGER) AS label FROM size)",
+    "member AS (SELECT c_custkey AS obs_id, c_nationkey FROM customer UNION ALL SELECT DISTINCT 1000000000 + c_nationkey, c_nationkey FROM customer)",
+    "SELECT r.resolution, s.seed, obs_id, label FROM member JOIN place USING (c_nationkey), (VALUES (0.5::DOUBLE), (1.0::DOUBLE)) r(resolution), (VALUES (0::BIGINT), (7::BIGINT)) s(seed)",
+)
+
+
+@query("m07_communities_certain", with_ctes(*HUBS))
+def communities_certain(m):
+    """Customers tied to the hub of their nation, and weakly along a chain: the nations are the best partition."""
+    c = m.table("customer")
+    one = c.select(F.col("c_custkey").alias("src"), (F.col("c_nationkey") + 1_000_000_000).cast("bigint").alias("dst"), F.lit(1.0).alias("weight"))
+    chain = c.select(F.col("c_custkey").alias("src"), (F.col("c_custkey") + 1).alias("dst")).join(c.select(F.col("c_custkey").alias("dst")), "dst")
+    half = one.unionByName(chain.select("src", "dst", F.lit(0.001).alias("weight")))
+    both = half.unionByName(half.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
+    return graph.communities(both, [(0.5, 0), (0.5, 7), (1.0, 0), (1.0, 7)])
 
 
 @query("m07_o08_cluster_search")

@@ -46,3 +46,21 @@ def refit(m):
     x = scaled(m)
     replicates, _ = pg.factorize(x, [(3, s) for s in range(5)], max_iter=6)
     return pg.consensus_refit(x, rows(m), replicates, 3, density_threshold=2.0)[2]
+
+
+def replicates(m):
+    """Replicate spectra of every k at the default seeds and iterations: (scaled rows, spectra table)."""
+    x = scaled(m)
+    spectra, _ = pg.factorize(x, [(k, s) for k in (3, 5) for s in pg.DEFAULT_SEEDS])
+    return x, cut(pg.spectra_table(x, spectra))
+
+
+@query("n11_k_selection")
+def k_selection(m):
+    return pg.k_selection(*replicates(m))
+
+
+@query("n13_consensus_all_k")
+def consensus_all(m):
+    x, table = replicates(m)
+    return pg.consensus_all(x, rows(m), table, density_threshold=2.0)[2]

@@ -241,6 +241,58 @@ BY_TYPE = [
 ]
 
 
+SF_TYPE = [
+    *BULK,
+    "smp AS (SELECT cell_type, pseudobulk_id, condition = '5-LOW' AS is_test FROM meta WHERE condition IN ('1-URGENT', '5-LOW'))",
+    "n AS (SELECT cell_type, count(*) FILTER (NOT is_test) AS n0, count(*) FILTER (is_test) AS n1 FROM smp GROUP BY 1 HAVING least(n0, n1) >= 2)",
+    "dat AS (SELECT s.cell_type, c.* FROM cnt c JOIN smp s USING (pseudobulk_id) JOIN n USING (cell_type) QUALIFY sum(c.count) OVER (PARTITION BY s.cell_type, c.var_id) >= 10)",
+    "geo AS (SELECT cell_type, var_id, exp(avg(ln(count))) AS geo, count(*) = n0 + n1 AS whole FROM dat JOIN n USING (cell_type) GROUP BY cell_type, var_id, n0, n1)",
+    "used AS (SELECT * FROM geo QUALIFY whole OR NOT bool_or(whole) OVER (PARTITION BY cell_type))",
+    "med AS (SELECT cell_type, pseudobulk_id, median(count / geo) AS sf FROM dat JOIN used USING (cell_type, var_id) GROUP BY 1, 2)",
+    "lib AS (SELECT cell_type, pseudobulk_id, sum(count) AS lib FROM dat GROUP BY 1, 2)",
+    "raw AS (SELECT s.cell_type, s.pseudobulk_id, CASE WHEN bool_or(coalesce(sf, 0.0) <= 0) OVER (PARTITION BY s.cell_type) THEN coalesce(lib, 1e-8) ELSE sf END AS sf "
+    "FROM smp s JOIN n USING (cell_type) LEFT JOIN med USING (cell_type, pseudobulk_id) LEFT JOIN lib USING (cell_type, pseudobulk_id))",
+    "sf AS (SELECT cell_type, pseudobulk_id, sf / exp(avg(ln(sf)) OVER (PARTITION BY cell_type)) AS size_factor FROM raw)",
+]
+
+
+def by_type_args(m):
+    bulk = pb.pseudobulk(cells(m), order_expr(m))
+    return cut(bulk.counts), cut(bulk.metadata), "condition", "1-URGENT", "5-LOW"
+
+
+@query("d06_size_factors_by_type", with_ctes(*SF_TYPE, "SELECT cell_type, pseudobulk_id, round(size_factor, 8) AS size_factor FROM sf"))
+def size_factors_by_type(m):
+    data, samples, _ = nbglm.contrast_by_type(*by_type_args(m))
+    return nbglm.size_factors_by_type(data, samples).withColumn("size_factor", F.round("size_factor", 8))
+
+
+@query(
+    "d07_d08_start_dispersions_by_type",
+    with_ctes(
+        *SF_TYPE,
+        "g AS (SELECT cell_type, var_id, is_test, coalesce(count, 0.0) / size_factor AS y FROM (SELECT DISTINCT cell_type, var_id FROM dat) JOIN smp USING (cell_type) "
+        "JOIN sf USING (cell_type, pseudobulk_id) LEFT JOIN dat USING (cell_type, var_id, pseudobulk_id))",
+        "mm AS (SELECT cell_type, var_id, avg(y) AS mean, var_samp(y) AS v, greatest(avg(y) FILTER (is_test), 1.0) AS mt, greatest(avg(y) FILTER (NOT is_test), 1.0) AS mc, count(*) AS m FROM g GROUP BY 1, 2)",
+        "rr AS (SELECT cell_type, var_id, sum(((y - CASE WHEN is_test THEN mt ELSE mc END) * (y - CASE WHEN is_test THEN mt ELSE mc END) - CASE WHEN is_test THEN mt ELSE mc END) / "
+        "(CASE WHEN is_test THEN mt * mt ELSE mc * mc END)) / greatest(m - 2, 1) AS rough FROM g JOIN mm USING (cell_type, var_id) GROUP BY cell_type, var_id, m)",
+        "SELECT cell_type, var_id, round(mean, 6) AS base_mean, round(greatest((v - mean) / (mean * mean), 1e-8), 6) AS disp_moments, "
+        "round(greatest(least(greatest(rough, 0.0), greatest((v - mean) / (mean * mean), 1e-8)), 1e-8), 6) AS disp_init FROM mm JOIN rr USING (cell_type, var_id)",
+    ),
+)
+def start_by_type(m):
+    vectors, _ = nbglm.prepare_by_type(*by_type_args(m))
+    return nbglm.gene_fits(vectors, None, with_mle=False).select(
+        "cell_type", "var_id", *[F.round(c, 6).alias(c) for c in ("base_mean", "disp_moments", "disp_init")]
+    )
+
+
+@query("d05_d15_nb_wald_by_type")
+def nb_wald_by_type(m):
+    """The negative-binomial contrast of all cell types in the same jobs."""
+    return nbglm.nb_wald_by_type(*by_type_args(m))[0]
+
+
 @query(
     "d15_contrast_by_type",
     with_ctes(

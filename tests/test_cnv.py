@@ -63,10 +63,65 @@ def test_pooled_run_and_clusters(data):
     run = cnv.run_cnv(expr, coords, obs, "annot", ["normal"], CFG)
     lab = cnv.cluster_cells(run.cells, run.window_names, CFG).toPandas()
     assert len(lab) == 30 and lab.groupby("sample_id").cnv_cluster.min().eq(1).all()
-    many = cnv.cluster_cells(run.cells, run.window_names, cnv.CnvConfig(window_size=20, window_step=5, top_n_genes=120, exact_cluster_cells=6)).toPandas()
+    many = cnv.cluster_cells(run.cells, run.window_names, cnv.CnvConfig(window_size=20, window_step=5, top_n_genes=120, cluster_nodes=6)).toPandas()
     assert sorted(many.obs_id) == sorted(lab.obs_id)
 
 
+@pytest.mark.parametrize("rows", [1, 2, 7, 400])
+def test_window_quantiles_are_exact(spark, rows):
+    """Ties, both zeros, tiny and extreme values, several groups; any order of rows and any number of tasks."""
+    rng = np.random.default_rng(rows)
+    x = np.stack([rng.normal(0, 0.05, rows), rng.choice([0.0, -0.0, 1e-12, -1e-12], rows), np.round(rng.normal(size=rows), 1), np.clip(rng.normal(0, 5, rows), -3, 3), rng.normal(0, 1e-7, rows)], axis=1)
+    grp = rng.choice(["", "=a", "=b"], rows)
+    cells = spark.createDataFrame([(str(g), [float(v) for v in r]) for g, r in zip(grp, x, strict=True)], "grp string, scores array<double>").repartition(5)
+    got = cnv.window_quantiles(cells, {"lo": 0.01, "mid": 0.5, "hi": 0.93}).toPandas()
+    assert len(got) == 5 * len(set(grp))
+    for r in got.itertuples():
+        np.testing.assert_allclose([r.lo, r.mid, r.hi], np.quantile(x[grp == r.grp, r.w], [0.01, 0.5, 0.93]), rtol=1e-12, atol=1e-15)
+
+
+def test_rank_bins_never_fall():
+    v = np.sort(np.concatenate([np.random.default_rng(0).normal(0, s, 300) for s in (1e-12, 1e-4, 1, 100)] + [[0.0, -0.0, 3.0, -3.0]]))
+    b = cnv.rank_bins(v)
+    assert (np.diff(b) >= 0).all() and b.min() >= 0 and b.max() < cnv.BINS
+
+
+def test_group_limits_are_medians_over_groups(spark):
+    rng = np.random.default_rng(9)
+    x, grp = rng.normal(size=(90, 3)), np.array([None, "u", "v"], dtype=object)[np.arange(90) % 3]
+    cells = spark.createDataFrame([(i, "s", [float(v) for v in r]) for i, r in enumerate(x)], "obs_id long, sample_id string, scores array<double>")
+    groups = spark.createDataFrame([(i, g) for i, g in enumerate(grp)], "obs_id long, grp string")
+    low, high, strict = cnv.window_limits(cells, None, 0.1, groups)
+    each = np.array([np.quantile(x[np.arange(90) % 3 == k], [0.1, 0.9], axis=0) for k in range(3)])
+    np.testing.assert_allclose([low, high], np.median(each, axis=0))
+    assert strict
+
+
+def test_split_nodes_keeps_equal_rows_and_halves_the_widest():
+    rng = np.random.default_rng(1)
+    x = np.vstack([rng.normal(0, 0.01, (40, 3)), rng.normal(9, 0.01, (20, 3)), np.full((30, 3), 4.0)])
+    two = cnv.split_nodes(x, np.ones(90), 3)
+    assert len({tuple(two[a:b]) for a, b in ((0, 40), (40, 60), (60, 90))}) == 3 and len(set(two)) == 3
+    every = cnv.split_nodes(x, np.ones(90), 500)
+    assert len(set(every)) == 61 and len(set(every[60:])) == 1
+    assert len(set(cnv.split_nodes(np.array([[0.1 + 0.2], [0.3]]), np.ones(2), 9))) == 2
+
+
+def test_clusters_over_many_lanes_find_the_planted_profiles(spark, monkeypatch):
+    """The same tree with one lane and with many, well above the number of nodes: planted groups stay together."""
+    rng = np.random.default_rng(2)
+    names = [f"{c}.{a}{i}" for c in (1, 2, 3) for a in "pq" for i in (1, 2)]
+    profile = np.array([[1, 0, 0], [0, -1, 0], [0, 0.5, 1.5]])[np.arange(600) % 3].repeat(4, axis=1) + rng.normal(0, 0.05, (600, 12))
+    cells = spark.createDataFrame([(i, "s1" if i < 560 else "s2", [float(v) for v in r]) for i, r in enumerate(profile)], "obs_id long, sample_id string, trimmed array<double>")
+    cfg = cnv.CnvConfig(cluster_nodes=20, cluster_k=3)
+    for rows in (20_000, 60):
+        monkeypatch.setattr(cnv, "LANE_ROWS", rows)
+        lab = cnv.cluster_cells(cells, names, cfg).toPandas().sort_values("obs_id")
+        assert len(lab) == 600
+        for _, part in lab.groupby("sample_id"):
+            assert len(set(zip(part.obs_id % 3, part.cnv_cluster, strict=True))) == 3 == part.cnv_cluster.nunique()
+
+
 def test_first_match_for_duplicate_names(spark):
     df = spark.createDataFrame([("G1", 1, 3, 0), ("G1", 10, 30, 1), ("G2", 5, 7, 2)], "g string, a int, b int, pos int")
     got = {r["g"]: (r["a"], r["b"]) for r in cnv.first_per_key(df, "g", "pos").collect()}

@@ -57,6 +57,28 @@ def test_harmony_moves_batches_together(spark):
     assert none is None and np.allclose(matrix(same), x)
 
 
+@pytest.mark.parametrize("leaf, chunk", [(2000, 4096), (20, 4096), (8, 5)])
+def test_neighbours_by_tree_of_cells(spark, monkeypatch, leaf, chunk):
+    """One and two levels of pivots, leaves of one row and leaves cut into chunks: the same neighbours as by brute force."""
+    monkeypatch.setattr(graph, "TOP", 6)
+    monkeypatch.setattr(graph, "LEAF", leaf)
+    monkeypatch.setattr(graph, "CHUNK", chunk)
+    monkeypatch.setattr(graph, "QUERIES", 150)
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(c, 0.3, (n, 3)) for c, n in ((0, 220), (4, 150), (9, 25))] + [[[50.0, 50, 50]], [[50.0, 51, 50]]])
+    got = graph.nearest_neighbours(vectors(spark, x), 5).toPandas().sort_values(["obs_id", "rank"])
+    assert len(got) == 5 * len(x)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    for i, part in got.groupby("obs_id"):
+        order = [j for j in np.lexsort((np.arange(len(x)), d[i])) if j != i][:5]
+        assert list(part.neighbour_id) == order
+
+
+def test_few_points_have_fewer_neighbours(spark):
+    got = graph.nearest_neighbours(vectors(spark, np.array([[0.0], [1.0], [3.0]])), 5).toPandas()
+    assert sorted(zip(got.obs_id, got.neighbour_id, strict=True)) == [(0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1)]
+
+
 def test_trend_follows_a_smooth_curve(spark):
     m = np.logspace(-1, 2, 300)
     pdf = pd.DataFrame({"b": "x", "var_id": np.arange(300), "mean": m, "var_samp": m + 0.1 * m**2})
@@ -91,13 +113,62 @@ def cliques(spark):
     return spark.createDataFrame(rows, "src bigint, dst bigint, weight double")
 
 
-@pytest.mark.parametrize("small", [60_000, 60])
-def test_communities_find_cliques(cliques, small):
-    lab = graph.communities(cliques, [(1.0, 0)], small_edges=small).toPandas().sort_values("obs_id")
+def planted(spark, groups, size, seed):
+    """Dense random groups with a few links between them; (edges, group of each node)."""
+    rng = np.random.default_rng(seed)
+    member = np.repeat(np.arange(groups), size)
+    inner = np.concatenate([g * size + np.stack([rng.integers(0, size, 10 * size), rng.integers(0, size, 10 * size)]) for g in range(groups)], axis=1)
+    outer = rng.integers(0, groups * size, (2, groups * size // 2))
+    pairs = {(int(a), int(b)) for a, b in np.concatenate([inner, outer], axis=1).T if a != b}
+    pairs |= {(b, a) for a, b in pairs}
+    return spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "src bigint, dst bigint, weight double"), member
+
+
+def test_communities_find_cliques(cliques):
+    lab = graph.communities(cliques, [(1.0, 0)]).toPandas().sort_values("obs_id")
     assert len(lab) == 48 and lab.label.nunique() == 6
     assert all(lab.label.iloc[c * 8 : c * 8 + 8].nunique() == 1 for c in range(6))
 
 
+@pytest.mark.parametrize("groups, size", [(5, 60), (8, 500)])
+def test_planted_groups_at_two_sizes_and_many_jobs(spark, groups, size):
+    edges, member = planted(spark, groups, size, 1)
+    lab = graph.communities(edges, [(0.7, 0), (1.0, 0), (1.0, 5)]).toPandas()
+    assert len(lab) == 3 * groups * size
+    for _, part in lab.groupby(["resolution", "seed"]):
+        found = set(zip(part.label, member[part.obs_id], strict=True))
+        assert len(found) == groups and set(part.label) == set(range(groups))
+        first = part.groupby("label").agg(n=("obs_id", "size"), low=("obs_id", "min")).reset_index()
+        assert first.sort_values(["n", "low"], ascending=[False, True]).label.tolist() == list(range(groups))
+
+
+def test_labels_do_not_depend_on_partitions(spark):
+    edges, _ = planted(spark, 6, 40, 2)
+    a = graph.communities(edges.repartition(1), [(3.0, 1)]).toPandas().set_index("obs_id").label
+    b = graph.communities(edges.repartition(7, "dst"), [(3.0, 1)]).toPandas().set_index("obs_id").label
+    assert (a.sort_index() == b.sort_index()).all()
+
+
+def test_communities_are_connected(spark):
+    """Two pairs held together by a node that prefers a third group: no community falls apart."""
+    edges, _ = planted(spark, 10, 30, 4)
+    lab = graph.communities(edges, [(0.3, 0), (2.0, 0)]).toPandas()
+    links = edges.toPandas()
+    for _, part in lab.groupby("resolution"):
+        of = dict(zip(part.obs_id, part.label, strict=True))
+        root = {i: i for i in of}
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for a, b in zip(links.src, links.dst, strict=True):
+            if of[a] == of[b]:
+                root[find(a)] = find(b)
+        assert len({find(i) for i in of}) == part.label.nunique()
+
+
 def test_cluster_search_marks_one_resolution(cliques):
     labels, sweep, stability = graph.cluster_search(cliques, (0.5, 1.0, 1.5), (0, 1))
     rows = stability.collect()
@@ -160,3 +231,64 @@ def test_permuted_programs_are_matched(spark):
     assert {(r["reference_program"], r["candidate_program"]) for r in matches.collect()} == {("1", "y"), ("2", "x")}
     row = summary.head()
     assert row["overall_consistency"] == pytest.approx(1.0) and pg.speed_gate(summary, 10.0, 4.0).head()["passed"]
+
+
+def test_leading_directions_match_svd(spark):
+    rng = np.random.default_rng(8)
+    x = np.abs(rng.normal(size=(300, 30)) @ np.diag(np.linspace(5, 0.5, 30)))
+    s, v = pg.leading_directions(vectors(spark, x), 4, 30)
+    _, s0, vt = np.linalg.svd(x, full_matrices=False)
+    np.testing.assert_allclose(s, s0[:4], rtol=1e-5)
+    assert np.abs(np.abs((v * vt[:4].T).sum(axis=0)) - 1).max() < 1e-3
+    s, v = pg.leading_directions(vectors(spark, x[:, :2]), 4, 2)
+    assert v.shape == (2, 4) and (s[2:] == 0).all()
+
+
+def test_silhouette_as_by_hand():
+    x, label = np.array([[0.0], [1.0], [10.0], [12.0], [50.0]]), np.array([1, 1, 2, 2, 3])
+    want = [(11 - 1) / 11, (10 - 1) / 10, (9.5 - 2) / 9.5, (11.5 - 2) / 11.5, 0.0]
+    assert pg.silhouette(x, label) == pytest.approx(np.mean(want))
+
+
+def test_consensus_of_all_k_equals_one_k_at_a_time(spark):
+    rng = np.random.default_rng(9)
+    h = np.zeros((3, 12))
+    for j in range(3):
+        h[j, 4 * j : 4 * j + 4] = rng.uniform(1, 3, 4)
+    x = rng.gamma(1, 1, (80, 3)) @ h + 0.01
+    rows, tpm = vectors(spark, x / x.std(axis=0)), vectors(spark, x * 100)
+    spectra, _ = pg.factorize(rows, [(k, s) for k in (2, 3) for s in range(6)], max_iter=40)
+    table = pg.spectra_table(rows, spectra)
+    medians, tpm_spectra, usages = pg.consensus_all(rows, tpm, table, density_threshold=2.0)
+    for k in (2, 3):
+        one_median, one_tpm, one_use = pg.consensus_refit(rows, tpm, spectra, k, density_threshold=2.0)
+        got = lambda df, c, k=k: np.vstack(df.where(f"k = {k}").orderBy("program").toPandas()[c])
+        np.testing.assert_allclose(got(medians, "spectrum"), one_median, rtol=1e-8)
+        np.testing.assert_allclose(got(tpm_spectra, "tpm_spectrum"), one_tpm, rtol=1e-6)
+        np.testing.assert_allclose(matrix(usages.where(f"k = {k}")), matrix(one_use), rtol=1e-5, atol=1e-7)
+    chosen = pg.k_selection(rows, table).toPandas().set_index("k")
+    assert chosen.silhouette[3] > 0.9 and chosen.prediction_error[3] < 0.3 * chosen.prediction_error[2] and set(chosen.n_spectra) == {12, 18}
+
+
+def test_batches_of_several_variables_solve_the_dense_system(spark):
+    """Conjugate gradients over pairs of levels and the arrow of one variable give the dense ridge solution; sums hold only levels that occur."""
+    rng = np.random.default_rng(12)
+    x, r = rng.normal(size=(60, 4)), rng.dirichlet(np.ones(2), 60)
+    a, b = rng.integers(0, 3, 60), 3 + rng.integers(0, 4, 60)
+    for codes, lam in ((a[:, None], [1.0] * 3), (np.stack([a, b], axis=1), [1.0] * 3 + [0.5] * 4)):
+        m = embed._level_moments(r, x, codes)
+        coef = embed.level_coefficients(m, np.r_[0.0, lam], codes.shape[1], everywhere=False)
+        full = np.concatenate([np.ones((60, 1)), *[c[:, None] == np.unique(c)[None, :] for c in codes.T]], axis=1).astype(float)
+        for k in range(2):
+            weighted = full * r[:, k : k + 1]
+            want = np.linalg.solve(weighted.T @ full + np.diag(np.r_[0.0, lam]), weighted.T @ x)[1:]
+            np.testing.assert_allclose(coef[:, k], want, atol=1e-8)
+
+
+def test_many_levels_stay_small(spark):
+    """4,000 batches: nothing of the size levels x levels or cells x levels."""
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(8000, 3)) + 5
+    obs = spark.createDataFrame([(i, f"b{i % 4000}") for i in range(8000)], "obs_id bigint, batch string")
+    z, r = embed.harmony(vectors(spark, x), obs, ["batch"], max_iter=1, rounds=1)
+    assert z.count() == 8000 and r.select(F.size("r")).distinct().head()[0] == 100

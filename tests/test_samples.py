@@ -47,16 +47,71 @@ def test_size_factors_centre_and_order(spark):
     assert sf["s1"] > sf["s0"] > sf["s2"]
 
 
-def test_trend_backends_agree(spark, monkeypatch):
+def relative_cost(m, d, a, b):
+    return ((d / (a + b / m) - 1) ** 2).sum()
+
+
+def test_trends_of_many_types_are_fitted_together(spark):
+    """Each type ends where it would alone, at a minimum over the genes inside its band, whatever the other types do."""
     rng = np.random.default_rng(2)
-    m = rng.gamma(2, 50, 200)
-    pdf = pd.DataFrame({"base_mean": m, "disp_gene": (0.1 + 2 / m) * np.exp(rng.normal(0, 0.2, 200))})
-    df = spark.createDataFrame(pdf)
-    near = nbglm.fit_trend(df)
-    monkeypatch.setattr(nbglm, "COLLECT_LIMIT", 0)
-    far = nbglm.fit_trend(df)
-    assert near["type"] == far["type"] == "parametric"
-    assert near["a"] == pytest.approx(far["a"], rel=1e-4) and near["b"] == pytest.approx(far["b"], rel=1e-4)
+    parts = []
+    for k in range(40):
+        m = rng.gamma(2, 50, 30 + 10 * k)
+        parts.append(pd.DataFrame({"cell_type": f"t{k}", "base_mean": m, "disp_gene": (0.05 * (k % 7 + 1) + (k % 5) / m) * np.exp(rng.normal(0, 0.2, len(m)))}))
+    parts.append(pd.DataFrame({"cell_type": "few", "base_mean": [1.0, 2.0, 3.0], "disp_gene": [0.1, 0.2, 0.3]}))
+    pdf = pd.concat(parts)
+    found = nbglm.fit_trends(spark.createDataFrame(pdf)).set_index("cell_type")
+    assert found.type["few"] == "mean" and found.a["few"] == pytest.approx(0.2) and found.type.drop("few").isin(["parametric"]).all()
+    for k in (0, 4, 13, 39):
+        alone = nbglm.fit_trend(spark.createDataFrame(parts[k].drop(columns="cell_type")))
+        assert found.a[f"t{k}"] == pytest.approx(alone["a"], rel=1e-6) and found.b[f"t{k}"] == pytest.approx(alone["b"], rel=1e-4, abs=1e-6)
+        m, d, a, b = parts[k].base_mean.to_numpy(), parts[k].disp_gene.to_numpy(), alone["a"], alone["b"]
+        rel = d / (a + b / m)
+        m, d = m[(rel > 1e-4) & (rel < 15)], d[(rel > 1e-4) & (rel < 15)]
+        here = relative_cost(m, d, a, b)
+        assert alone["converged"] and all(here <= relative_cost(m, d, a * x, b * y) * (1 + 1e-6) for x in (0.99, 1, 1.01) for y in (0.98, 1, 1.02))
+
+
+def by_type(rng, types):
+    """Counts and metadata of types with their own samples; 'thin' has one test sample."""
+    rows, samples = [], []
+    for k in range(types):
+        n = 4 + k % 3
+        y = rng.poisson(rng.gamma(3, 20, 25)[None, :] * rng.uniform(0.6, 1.6, n)[:, None]).astype(float)
+        y[n // 2 :, 0] *= 5
+        samples += [(f"t{k}", f"t{k}|{i}", "ctrl" if i < n // 2 else "test") for i in range(n)]
+        rows += [(f"t{k}|{i}", f"G{j}", float(y[i, j])) for i in range(n) for j in range(25) if y[i, j]]
+    samples += [("thin", f"thin|{i}", "test" if i == 0 else "ctrl") for i in range(4)]
+    rows += [(f"thin|{i}", "G0", 30.0) for i in range(4)]
+    return rows, samples
+
+
+def test_nb_of_all_types_equals_one_type_at_a_time(spark):
+    rows, samples = by_type(np.random.default_rng(6), 5)
+    counts = spark.createDataFrame(rows, "pseudobulk_id string, var_id string, count double")
+    meta_ = spark.createDataFrame(samples, "cell_type string, pseudobulk_id string, condition string")
+    table, sizes = nbglm.nb_wald_by_type(counts, meta_, "condition", "ctrl", "test")
+    all_ = table.toPandas()
+    assert {r.cell_type: r.tested for r in sizes.collect()} == {**{f"t{k}": True for k in range(5)}, "thin": False} and "thin" not in set(all_.cell_type)
+    for k in (0, 1, 2):
+        one = nbglm.nb_wald(counts, meta_.where(f"cell_type = 't{k}'"), "condition", "ctrl", "test").toPandas().set_index("gene").sort_index()
+        got = all_[all_.cell_type == f"t{k}"].set_index("gene").sort_index()
+        assert list(one.index) == list(got.index) and list(one.dispOutlier) == list(got.dispOutlier)
+        for c in ("baseMean", "log2FoldChange", "lfcSE", "stat", "pvalue", "padj", "dispersion", "dispFit", "dispMAP"):
+            np.testing.assert_allclose(got[c].to_numpy(), one[c].to_numpy(), rtol=2e-4, atol=1e-7)
+        assert got.pvalue.idxmin() == "G0" and got.log2FoldChange["G0"] > 1
+
+
+def test_size_factors_by_type_fall_back_like_the_single_ones(spark):
+    rows = [("a0", "G0", 5.0), ("a1", "G1", 8.0), ("a2", "G0", 3.0), ("b0", "G0", 5.0), ("b1", "G0", 10.0), ("b1", "G1", 4.0)]
+    counts = spark.createDataFrame([("a" if r[0][0] == "a" else "b", *r) for r in rows], "cell_type string, pseudobulk_id string, var_id string, count double")
+    ids = [("a", f"a{i}", 4) for i in range(4)] + [("b", f"b{i}", 2) for i in range(2)]
+    got = {r.pseudobulk_id: r.size_factor for r in nbglm.size_factors_by_type(counts, spark.createDataFrame(ids, "cell_type string, pseudobulk_id string, n_samples int")).collect()}
+    for k, n in (("a", 4), ("b", 2)):
+        part = counts.where(f"cell_type = '{k}'").drop("cell_type")
+        alone = nbglm.size_factors(part, spark.createDataFrame([(f"{k}{i}",) for i in range(n)], "pseudobulk_id string"))
+        for r in alone.collect():
+            assert got[r.pseudobulk_id] == pytest.approx(r.size_factor, rel=1e-9)
 
 
 def test_welch_matches_dense_computation(spark):
