@@ -70,6 +70,12 @@ def log_normalize(expr: DataFrame, target: float = 1e4) -> DataFrame:
     )
 
 
+def scale_to_total(expr: DataFrame, target: float = 1e4) -> DataFrame:
+    """value * target / cell total."""
+    totals = cell_sums(expr).select("obs_id", "total")
+    return expr.join(totals, "obs_id").select("obs_id", "var_id", (F.col("value") * F.lit(float(target)) / F.col("total")).alias("value"))
+
+
 def scale_no_center(expr: DataFrame, obs: DataFrame) -> DataFrame:
     """value / std (ddof 1); a zero or undefined std counts as 1."""
     std = gene_moments(expr, obs).select("var_id", F.sqrt("var_samp").alias("_sd"))

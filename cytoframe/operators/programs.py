@@ -151,6 +151,14 @@ def factorize(
     return {t: spectra[t] for t in tasks}, {t: errors[t] for t in tasks}
 
 
+def scale_rows(rows: DataFrame) -> DataFrame:
+    """Vectors over the spread (ddof 1) of each of their columns; a column without spread stays."""
+    s = matrix_sums(rows, lambda pdf: {"s1": _stack(pdf["v"]).sum(axis=0, keepdims=True), "s2": (_stack(pdf["v"]) ** 2).sum(axis=0, keepdims=True), "n": np.array([[len(pdf)]])})
+    n = s["n"][0, 0]
+    std = np.sqrt(np.maximum(s["s2"][0] - s["s1"][0] ** 2 / n, 0.0) / max(n - 1, 1))
+    return map_vectors(rows.select("obs_id", "v"), lambda x, _: x / np.where(std > 0, std, 1.0), ["obs_id"])
+
+
 def spectra_table(rows: DataFrame, spectra: dict) -> DataFrame:
     data = [(int(k), int(s), c + 1, [float(x) for x in h[c]]) for (k, s), h in spectra.items() for c in range(k)]
     return rows.sparkSession.createDataFrame(data, SPECTRA)

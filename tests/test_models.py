@@ -142,11 +142,15 @@ def test_planted_groups_at_two_sizes_and_many_jobs(spark, groups, size):
         assert first.sort_values(["n", "low"], ascending=[False, True]).label.tolist() == list(range(groups))
 
 
-def test_labels_do_not_depend_on_partitions(spark):
+def test_labels_do_not_depend_on_partitions_or_on_where_rounds_run(spark, monkeypatch):
+    """The rounds as joins and the rounds in a task give one and the same labels, also where moving is far from certain."""
     edges, _ = planted(spark, 6, 40, 2)
-    a = graph.communities(edges.repartition(1), [(3.0, 1)]).toPandas().set_index("obs_id").label
-    b = graph.communities(edges.repartition(7, "dst"), [(3.0, 1)]).toPandas().set_index("obs_id").label
-    assert (a.sort_index() == b.sort_index()).all()
+    a = graph.communities(edges.repartition(1), [(3.0, 1), (1.0, 4)]).toPandas()
+    b = graph.communities(edges.repartition(7, "dst"), [(3.0, 1), (1.0, 4)]).toPandas()
+    monkeypatch.setattr(graph, "TASK_EDGES", 600)
+    c = graph.communities(edges, [(3.0, 1), (1.0, 4)]).toPandas()
+    rows = lambda x: sorted(map(tuple, x.to_numpy().tolist()))
+    assert rows(a) == rows(b) == rows(c) and len(a) == 480
 
 
 def test_communities_are_connected(spark):
@@ -292,3 +296,25 @@ def test_many_levels_stay_small(spark):
     obs = spark.createDataFrame([(i, f"b{i % 4000}") for i in range(8000)], "obs_id bigint, batch string")
     z, r = embed.harmony(vectors(spark, x), obs, ["batch"], max_iter=1, rounds=1)
     assert z.count() == 8000 and r.select(F.size("r")).distinct().head()[0] == 100
+
+
+def test_program_inputs_are_composed_and_written(spark, tmp_path):
+    from cytoframe.plans import workflows
+
+    rng = np.random.default_rng(21)
+    x = rng.poisson(rng.gamma(1, 4, (1, 12)) * (1 + 3 * rng.integers(0, 2, (60, 12))))
+    counts = spark.createDataFrame([(i, f"g{j:02d}", float(x[i, j])) for i in range(60) for j in range(12) if x[i, j]], "obs_id bigint, var_id string, value double")
+    obs = spark.createDataFrame([(i, f"s{i % 3}") for i in range(60)], "obs_id bigint, sample_id string")
+    inputs = workflows.run_program_preprocess(obs, counts, n_top=6, n_components=4, max_iter=2)
+    assert len(inputs.genes) == 6 and inputs.corrected.count() == 60 and (matrix(inputs.corrected) >= 0).all()
+    paths = workflows.prepare_programs(inputs, obs, (2, 3), 5, str(tmp_path))
+    read = lambda name: spark.read.parquet(paths[name])
+    np.testing.assert_allclose(matrix(read("norm_counts")).std(axis=0, ddof=1), 1.0)
+    stats = read("tpm_stats").orderBy("var_id").toPandas()
+    tpm = x / x.sum(axis=1, keepdims=True) * 1e4
+    np.testing.assert_allclose(stats["mean"], tpm.mean(axis=0))
+    np.testing.assert_allclose(stats["std"], tpm.std(axis=0))
+    runs = read("runs").toPandas()
+    assert len(runs) == 10 and runs.seed.nunique() == 10 and sorted(read("genes").toPandas().var_id) == sorted(inputs.genes)
+    with pytest.raises(ValueError, match="batch key"):
+        workflows.run_program_preprocess(obs, counts, "absent")
