@@ -153,6 +153,15 @@ def test_labels_do_not_depend_on_partitions_or_on_where_rounds_run(spark, monkey
     assert rows(a) == rows(b) == rows(c) and len(a) == 480
 
 
+def test_settle_ends_in_one_community_or_none_moves():
+    """Levels of one node, where a half of the nodes is empty, and nodes that only have loops."""
+    src, dst = np.array([0, 1, 1, 2, 0, 2]), np.array([1, 0, 2, 1, 2, 0])
+    for seed in range(20):
+        h, t = (np.random.default_rng(seed + x).integers(-(1 << 62), 1 << 62, 3) for x in (0, 100))
+        assert len(set(graph.settle(src, dst, np.ones(6), h, t, 0.1, 6.0, 20, 0.005))) == 1
+        assert graph.settle(np.arange(3), np.arange(3), np.ones(3), h, t, 1.0, 3.0, 20, 0.005).tolist() == [0, 1, 2]
+
+
 def test_communities_are_connected(spark):
     """Two pairs held together by a node that prefers a third group: no community falls apart."""
     edges, _ = planted(spark, 10, 30, 4)
