@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
+import re
 
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+WHOLE, PIECE = 128 << 20, 8 << 20
+
 LOG_SCHEMA = (
     "run_id string, ts timestamp, module string, decision string, reason string, parameters map<string,string>, "
     "evidence map<string,string>, human_review_required boolean, review_reason string, actor string"
@@ -72,12 +77,34 @@ def write_composition(counts: DataFrame, folder: str) -> None:
         write_table(wide, os.path.join(folder, f"{name}.tsv"), single_file=True)
 
 
+def _hashed(batches):
+    """sha256 of the files at ``path``, read a piece at a time."""
+    for pdf in batches:
+        sums = []
+        for path in pdf["path"]:
+            # Spark's paths are not escaped, so local ones are no URIs
+            local = path.startswith(("file:", "/"))
+            source, name = (LocalFileSystem(), re.sub(r"^(file:)?/+", "/", path)) if local else FileSystem.from_uri(re.sub(r"^s3a:", "s3:", path))
+            state = hashlib.sha256()
+            with source.open_input_stream(name) as stream:
+                while piece := stream.read(PIECE):
+                    state.update(piece)
+            sums.append(state.hexdigest())
+        yield pdf.assign(sha256=sums)
+
+
 def file_manifest(spark: SparkSession, folder: str, skip: str = "manifest.json") -> DataFrame:
-    """Relative path, bytes and sha256 of every file below a folder."""
+    """Relative path, bytes and sha256 of every file below a folder.
+
+    Files above ``WHOLE`` bytes are read in pieces through ``pyarrow.fs``: a task holds one piece, and a file may be larger than a Spark value.
+    The hash chains over a file's bytes, so one task still passes over each whole file.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     root = os.path.basename(folder.rstrip("/"))
     rel = F.substring_index("path", f"/{root}/", -1)
-    return files.select(rel.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).where(
+    small = files.where(F.col("length") <= WHOLE).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > WHOLE).select("path", "length").mapInPandas(_hashed, "path string, length bigint, sha256 string")
+    return small.unionByName(large).select(rel.alias("path"), F.col("length").alias("bytes"), "sha256").where(
         F.element_at(F.split("path", "/"), -1) != skip
     )
 
