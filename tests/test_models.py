@@ -1,5 +1,6 @@
 """Embedding, graph and factorisation kernels against numpy."""
 
+import hashlib
 from itertools import permutations
 
 import numpy as np
@@ -102,6 +103,68 @@ def test_neighbours_match_brute_force_with_copies(spark, monkeypatch, chunk):
         np.testing.assert_allclose(part.dist, d[order], atol=1e-12)
 
 
+def test_a_query_is_written_once_however_many_leaves_it_visits(spark, monkeypatch):
+    """Vectors of many dimensions visit every leaf; no table of the search grows with the leaves."""
+    monkeypatch.setattr(graph, "CHUNK", 20)
+    monkeypatch.setattr(graph, "QUERIES", 100)
+    counts, cut = [], graph.cut
+
+    def counted(df):
+        out = cut(df)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "cut", counted)
+    x = np.random.default_rng(5).normal(size=(400, 24)) + 1000.0
+    got = graph.nearest_neighbours(vectors(spark, x), 5).toPandas().sort_values(["obs_id", "rank"])
+    assert max(counts) == 400
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    assert (got.neighbour_id.to_numpy().reshape(400, 5) == d.argsort(axis=1)[:, :5]).all()
+
+
+def test_split_communities_are_the_same_in_a_task_and_as_joins(spark, monkeypatch):
+    """Communities of a ring with low resolution fall apart; the whole run in a task gives the labels of the joins."""
+    rng = np.random.default_rng(8)
+    pairs = {(int(a), int(b)) for a, b in rng.integers(0, 150, (260, 2)) if a != b}
+    pairs |= {(b, a) for a, b in pairs}
+    edges = spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "src bigint, dst bigint, weight double")
+    rows = lambda x: sorted(map(tuple, x.to_numpy().tolist()))
+    seen = []
+    real = graph._connected
+    monkeypatch.setattr(graph, "_connected", lambda *a: seen.append(1) or real(*a))
+    a = rows(graph.communities(edges, [(0.2, 0), (1.0, 3)]).toPandas())
+    assert not seen
+    monkeypatch.setattr(graph, "TASK_EDGES", 100)
+    assert a == rows(graph.communities(edges, [(0.2, 0), (1.0, 3)]).toPandas()) and seen
+
+
+def test_no_round_of_harmony_writes_memberships(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 3))
+    obs = spark.createDataFrame([(i, str(i % 3)) for i in range(300)], "obs_id bigint, batch string")
+    columns, cut = [], embed.cut
+    monkeypatch.setattr(embed, "cut", lambda df: columns.append(df.columns) or cut(df))
+    _, r = embed.harmony(vectors(spark, x), obs, ["batch"], max_iter=2)
+    assert columns and not any("r" in c for c in columns)
+    weights = np.vstack(r.toPandas()["r"])
+    assert weights.shape == (300, 10) and np.allclose(weights.sum(axis=1), 1.0)
+
+
+def test_manifest_hashes_large_files_in_pieces(spark, tmp_path, monkeypatch):
+    from cytoframe.sources import sinks
+
+    monkeypatch.setattr(sinks, "WHOLE", 1000)
+    sent = {"small.bin": b"ab", "deep/large one.bin": bytes(range(256)) * 50, "manifest.json": b"{}"}
+    (tmp_path / "deep").mkdir()
+    for name, data in sent.items():
+        (tmp_path / name).write_bytes(data)
+    plan = sinks.file_manifest(spark, str(tmp_path))
+    got = {r.path: (r.bytes, r.sha256) for r in plan.collect()}
+    assert got == {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in sent.items() if n != "manifest.json"}
+    assert "_hashed" in plan._jdf.queryExecution().toString()
+
+
 @pytest.fixture(scope="module")
 def cliques(spark):
     rows = []
