@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -162,3 +164,16 @@ def test_ward_merges_obvious_groups():
 def test_bad_config():
     with pytest.raises(ValueError):
         cnv.CnvConfig(threshold_percentile=0.7)
+
+
+def test_halving_a_large_lane_copies_a_slab_and_not_the_lane(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 400))
+    whole = cnv.split_nodes(x[:300], np.ones(300), 20)
+    monkeypatch.setattr(cnv, "SLAB", 20_000)
+    assert (cnv.split_nodes(x[:300], np.ones(300), 20) == whole).all()
+    tracemalloc.start()
+    cnv.split_nodes(x, np.ones(3000), 4)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < x.nbytes / 4
