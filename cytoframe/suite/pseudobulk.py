@@ -53,11 +53,18 @@ def order_expr(m):
     ).agg(F.sum("l_quantity").alias("value"))
 
 
+def order_lines(m):
+    """The lines behind ``order_expr`` as they are, for sums over more than one order: nothing is grouped by order first."""
+    parts = m.table("part").select(F.col("p_partkey").alias("l_partkey"), F.concat_ws("|", "p_brand", "p_type").alias("var_id"))
+    lines = m.table("lineitem").select(F.col("l_orderkey").alias("obs_id"), "l_partkey", F.col("l_quantity").alias("value"))
+    return lines.join(parts, "l_partkey").select("obs_id", "var_id", "value")
+
+
 def pairs(m):
     """Sample-by-condition pseudobulk over all cell types: (counts, metadata)."""
     pid = F.concat_ws("|", F.col("sample_id").cast("string"), "condition").alias("pseudobulk_id")
     tagged = cells(m).select("obs_id", pid, "condition")
-    counts = order_expr(m).join(tagged.select("obs_id", "pseudobulk_id"), "obs_id").groupBy("pseudobulk_id", "var_id").agg(
+    counts = order_lines(m).join(tagged.select("obs_id", "pseudobulk_id"), "obs_id").groupBy("pseudobulk_id", "var_id").agg(
         F.sum("value").alias("count")
     )
     return counts, tagged.select("pseudobulk_id", "condition").distinct()
@@ -257,7 +264,7 @@ SF_TYPE = [
 
 
 def by_type_args(m):
-    bulk = pb.pseudobulk(cells(m), order_expr(m))
+    bulk = pb.pseudobulk(cells(m), order_lines(m))
     return cut(bulk.counts), cut(bulk.metadata), "condition", "1-URGENT", "5-LOW"
 
 

@@ -180,3 +180,17 @@ def test_cox_gradient_is_the_derivative(spark):
     good = spark.createDataFrame(pdf.assign(risk=-pdf.time))
     bad = spark.createDataFrame(pdf.assign(risk=pdf.time))
     assert ab.cox_nll(good, "id").head()[0] < ab.cox_nll(bad, "id").head()[0]
+
+
+def test_pair_counts_sum_lines_without_grouping_orders(spark, tmp_path):
+    from cytoframe.adapters import Model
+    from cytoframe.suite import pseudobulk as suite
+
+    spark.createDataFrame([(1, "A", 0), (2, "A", 1)], "c_custkey bigint, c_mktsegment string, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(10, 1, "1-URGENT", "F"), (11, 1, "1-URGENT", "O"), (12, 2, "5-LOW", "F"), (12, 2, "5-LOW", "F")], "o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(5, "B", "X"), (6, "C", "X")], "p_partkey bigint, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(10, 5, 1.0), (10, 5, 2.0), (11, 5, 4.0), (12, 6, 3.0), (12, 5, None)], "l_orderkey bigint, l_partkey bigint, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    counts, _ = suite.pairs(Model(spark, str(tmp_path)))
+    got = {(r.pseudobulk_id, r.var_id): r["count"] for r in counts.collect()}
+    assert got == {("0|1-URGENT", "B|X"): 7.0, ("1|5-LOW", "C|X"): 6.0, ("1|5-LOW", "B|X"): None}
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
