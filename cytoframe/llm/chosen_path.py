@@ -12,20 +12,26 @@ join from the start, so copies are never compared.
 3. *Nodes.*  A node that still holds members of different components is compared exhaustively
    if at most ``small`` members are outside the node's largest component (pairs within a component
    are left out, so their number stays linear).
-4. *Crowds.*  All members of the other nodes meet in an exact join: two sets of the
+4. *Branches.*  The other nodes are crowded.  Each of their members goes to ``BRANCHES`` children, by as many
+   further tokens of the tree; these are nodes as in 3., and the crowded ones among them branch again while the
+   tree has tokens.  Sets with less than 1 / ``BRANCHES`` of their tokens in common, such as texts around a
+   passage, are fewer at each level, while a pair at the threshold has 1.6 common children a level.
+5. *Crowds.*  All members of the nodes that are still crowded meet in an exact join: two sets of the
    similarity share one of the n - ceil(0.8 n) + 1 first shingles of each, in any order that is the
    same for all sets.  The order puts rare shingles first (counts of the crowd in ``SLOTS`` hashed
    places), so that texts that share a passage only don't meet.  Members of different components that
    share such a shingle are a node again; a node with more than ``small`` members outside its
    largest component is compared as it is, in blocks of ``HEAP``.
    Nodes are compared in blocks, whose whole texts meet in one place.
-5. A pair is dropped early only if the sizes forbid the similarity, one-bit sketches differ in
+6. A pair is dropped early only if the sizes forbid the similarity, one-bit sketches differ in
    more than ``SKETCH_GAP`` of 128 places (expected at similarity 0.8: 12.8), or (stars) fewer
    than ``ALIKE`` tokens agree; all others are confirmed on the full shingle sets of the whole texts.
 
 A pair at the threshold shares the first token of a tree with probability 0.8, so that none of 16
-trees has it in a node with probability 0.2 ** 16; whatever is in one node is either compared or joined exactly.
-The sketch gap of 5. (4.5 deviations) and ``ALIKE`` lose fewer than one in 10,000, of stars only for ``ALIKE``.
+trees has it in a node with probability 0.2 ** 16; whatever is in one node is compared, joined exactly or branched.
+In a node that branches, a pair at the threshold meets down to the last level with probability 0.9375 or more (the
+fixed point of f = 1 - (1 - 0.8 f) ** 2), so that it is lost with 0.25 ** 16 even if all its nodes are crowded.
+The sketch gap of 6. (4.5 deviations) and ``ALIKE`` lose fewer than one in 10,000, of stars only for ``ALIKE``.
 
 Defined cases: a text without words (or null) has an empty set and is linked with nothing; a
 text of fewer than k words is one shingle; rows with a null doc_id get a null class, are
@@ -51,9 +57,11 @@ POSITIONS = 128
 SKETCH_GAP = 28
 SLOTS = 1 << 18
 HEAP = 512
+BRANCHES = 2  # tokens, and so children, of a member of a crowded node
 ALIKE = 84  # equal tokens of POSITIONS; expected at similarity 0.8: 102.4, deviation 4.5
 _A = (randoms(POSITIONS, 31) | U(1))[:, None]
 _B = randoms(POSITIONS, 37)[:, None]
+MEMBER = ["sid", "n", "bits", "more", "comp"]
 PROFILE = "doc_id long, _id long, _t long, n_shingles long, sid binary, bits long, more long, sig binary"
 
 
@@ -272,8 +280,8 @@ def _near(a: str, b: str, percent: int) -> Column:
     return sizes & (gap <= SKETCH_GAP)
 
 
-def _token(at: Column) -> Column:
-    return F.call_function("substring", F.col("sig"), at * 4 + 1, F.lit(4))
+def _token(at: Column, of: str = "sig", tokens: int = 1) -> Column:
+    return F.call_function("substring", F.col(of), at * 4 + 1, F.lit(4 * tokens))
 
 
 def _crowds(level: DataFrame) -> DataFrame:
@@ -283,6 +291,17 @@ def _crowds(level: DataFrame) -> DataFrame:
     return level.join(crowd, "node")
 
 
+def _parted(level: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes that can be compared as they are, and the crowded ones."""
+    return level.where(F.col("outside") <= small).select("node", *MEMBER, "main", "size", "outside"), level.where(F.col("outside") > small)
+
+
+def branch(crowd: DataFrame, at: int) -> DataFrame:
+    """The members of crowded nodes (with ``path``, the tokens of their tree) in the children by the tokens from ``at`` on."""
+    nodes = [F.xxhash64("node", F.lit(i), _token(F.lit(i), "path")) for i in range(at, at + BRANCHES)]
+    return crowd.select(F.explode(F.array(*nodes)).alias("node"), "path", *MEMBER)
+
+
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> U(46)).astype(np.int64)  # the upper bits of 64, SLOTS values
 
@@ -314,8 +333,7 @@ def rare_nodes(members: DataFrame, k: int, percent: int) -> DataFrame:
                 owner.append(np.full(len(nodes[-1]), i))
             at = pa.array(np.concatenate(owner) if owner else np.zeros(0, np.int64))
             names = pa.array(np.concatenate(nodes) if nodes else np.zeros(0, np.int64))
-            columns = ["sid", "n", "bits", "more", "comp"]
-            yield pa.RecordBatch.from_arrays([names, *(batch[c].take(at) for c in columns)], ["node", *columns])
+            yield pa.RecordBatch.from_arrays([names, *(batch[c].take(at) for c in MEMBER)], ["node", *MEMBER])
 
     return members.mapInArrow(first, "node long, sid binary, n long, bits long, more long, comp binary")
 
@@ -332,24 +350,32 @@ def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
     sets = cut(named.groupBy("sid").agg(F.min(F.struct("doc_id", "_id", "_t")).alias("at"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("more").alias("more"), F.first("sig").alias("sig")).select("sid", "at.*", "n", "bits", "more", "sig"))
 
     member = F.struct("sid", "n", "bits", "more")
-    roots = F.array(*[F.struct((F.xxhash64(F.lit(t), _token(F.lit(t * POSITIONS // trees))).bitwiseAND(F.lit(-2)) + (t % 2)).alias("node"), member.alias("m")) for t in range(trees)])
-    level = sets.select(F.explode(roots).alias("x")).select("x.node", "x.m")
+    starts = [t * POSITIONS // trees for t in range(trees)]
+    roots = F.array(*[F.struct((F.xxhash64(F.lit(t), _token(F.lit(start))).bitwiseAND(F.lit(-2)) + (t % 2)).alias("node"), F.lit(start).alias("start"), member.alias("m")) for t, start in enumerate(starts)])
+    level = sets.select(F.explode(roots).alias("x")).select("x.*")
     crowd = level.groupBy("node").agg(F.min("m").alias("low"), F.max("m").alias("high"), F.min(F.struct(F.xxhash64("node", "m.sid").alias("order"), "m")).alias("any"), F.count(F.lit(1)).alias("size")).where("size > 1")
     centre = F.when(F.col("size") > small, F.col("any.m")).when(F.col("node") % 2 == 0, F.col("low")).otherwise(F.col("high"))
-    level = cut(level.join(crowd, "node").select("node", "size", centre.alias("p"), "m"))
+    level = cut(level.join(crowd, "node").select("node", "start", "size", centre.alias("p"), "m"))
     stars = level.where(F.col("p.sid") != F.col("m.sid")).where(_near("p.", "m.", percent))
     stars = cut(sift(stars.select(F.least("p.sid", "m.sid").alias("a"), F.greatest("p.sid", "m.sid").alias("b")).distinct(), sets))
     links = cut(confirm(stars, texts, sets, k, percent))
     comps = components(links)
 
-    level = level.where("size > 2").select("node", "m.*").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    level = level.where("size > 2").select("node", "start", "m.*").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     level = cut(_crowds(level))
-    leaf = level.where(F.col("outside") <= small)
-    crowd = level.where(F.col("outside") > small)
+    leaf, crowd = _parted(level, small)
+    tokens = POSITIONS // trees
+    for at in range(1, tokens - BRANCHES + 1, BRANCHES):
+        if crowd.isEmpty():
+            break
+        if at == 1:
+            crowd = crowd.join(sets.select("sid", "sig"), "sid").withColumn("path", _token(F.col("start"), tokens=tokens))
+        found, crowd = _parted(cut(_crowds(branch(crowd, at))), small)
+        leaf = leaf.union(found)
     if not crowd.isEmpty():
-        crowd = crowd.select("sid", "n", "bits", "more", "comp").distinct().join(sets.select("sid", "_id", "_t"), "sid")
-        crowd = cut(texts_of(crowd, texts).select("sid", "n", "bits", "more", "comp", "text"))
-        leaf = leaf.unionByName(cut(_crowds(cut(rare_nodes(crowd, k, percent)))))
+        crowd = crowd.select(*MEMBER).distinct().join(sets.select("sid", "_id", "_t"), "sid")
+        crowd = cut(texts_of(crowd, texts).select(*MEMBER, "text"))
+        leaf = leaf.union(cut(_crowds(cut(rare_nodes(crowd, k, percent)))).select(leaf.columns))
     links = cut(links.union(compare_nodes(leaf, texts, sets, k, percent, small)))
     comps = components(links)
 

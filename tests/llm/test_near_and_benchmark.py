@@ -83,6 +83,41 @@ def test_near_classes_against_brute_force(spark):
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()], key=repr) == brute_classes(rows, 4, 80)
 
 
+def test_texts_around_a_passage_branch_before_the_rare_join(spark, monkeypatch):
+    """Texts that only share a passage don't reach the join on rare shingles, and pairs among them are found."""
+    met, join = [], chosen_path.rare_nodes
+
+    def counted(members, k, percent):
+        met.append(members.count())
+        return join(members, k, percent)
+
+    monkeypatch.setattr(chosen_path, "rare_nodes", counted)
+    rng = random.Random(11)
+    passage = words(rng, 25)
+    rows = [(i, words(rng, 60) + " " + passage + " " + words(rng, 30)) for i in range(160)]
+    rows += [(1000 + i, edited(rng, rows[7 * i][1], i % 4)) for i in range(20)]
+    got = chosen_path.similar_classes(documents(spark, rows).select("doc_id", "text"), k=4, small=8)
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()], key=repr) == brute_classes(rows, 4, 80)
+    assert sum(met) < len(rows) // 4  # all of them without branches
+
+
+def test_a_large_group_below_the_threshold_still_meets_in_the_rare_join(spark, monkeypatch):
+    """Nodes that stay crowded at the last level are joined exactly."""
+    met, join = [], chosen_path.rare_nodes
+
+    def counted(members, k, percent):
+        met.append(members.count())
+        return join(members, k, percent)
+
+    monkeypatch.setattr(chosen_path, "rare_nodes", counted)
+    rng = random.Random(12)
+    base = words(rng, 150)
+    rows = [(i, edited(rng, base, 6 + i % 3)) for i in range(100)]
+    got = chosen_path.similar_classes(documents(spark, rows).select("doc_id", "text"), k=4, small=4)
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()], key=repr) == brute_classes(rows, 4, 80)
+    assert sum(met) > 0
+
+
 def test_one_of_each_keeps_columns_and_one_row(spark):
     rows = awkward() + [(50, "a b c d e f g"), (40, "a b c d e f g"), (60, "a b c d e f g h i j k l m n o p")]
     kept = chosen_path.one_of_each(documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars"))
