@@ -14,9 +14,10 @@ join from the start, so copies are never compared.
    are left out, so their number stays linear).
 4. *Branches.*  The other nodes are crowded.  Each of their members goes to ``BRANCHES`` children, by as many
    further tokens of the tree; these are nodes as in 3., and the crowded ones among them branch again while the
-   tree has tokens.  Sets with less than 1 / ``BRANCHES`` of their tokens in common, such as texts around a
-   passage, are fewer at each level, while a pair at the threshold has 1.6 common children a level.
-5. *Crowds.*  All members of the nodes that are still crowded meet in an exact join: two sets of the
+   tree has tokens and they hold at most 1 / ``BRANCHES`` of their parent, so that no level has more rows to branch
+   than the one before.  Texts around a passage are fewer at each level, while a pair at the threshold has
+   1.6 common children a level.
+5. *Crowds.*  All members of the nodes that are crowded and don't branch meet in an exact join: two sets of the
    similarity share one of the n - ceil(0.8 n) + 1 first shingles of each, in any order that is the
    same for all sets.  The order puts rare shingles first (counts of the crowd in ``SLOTS`` hashed
    places), so that texts that share a passage only don't meet.  Members of different components that
@@ -41,6 +42,7 @@ kept and link nobody; repeated rows share their class; other columns are left ou
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -299,7 +301,7 @@ def _parted(level: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
 def branch(crowd: DataFrame, at: int) -> DataFrame:
     """The members of crowded nodes (with ``path``, the tokens of their tree) in the children by the tokens from ``at`` on."""
     nodes = [F.xxhash64("node", F.lit(i), _token(F.lit(i), "path")) for i in range(at, at + BRANCHES)]
-    return crowd.select(F.explode(F.array(*nodes)).alias("node"), "path", *MEMBER)
+    return crowd.select(F.explode(F.array(*nodes)).alias("node"), "path", *MEMBER, F.col("size").alias("was"))
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
@@ -364,7 +366,7 @@ def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
     level = level.where("size > 2").select("node", "start", "m.*").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     level = cut(_crowds(level))
     leaf, crowd = _parted(level, small)
-    tokens = POSITIONS // trees
+    tokens, last = POSITIONS // trees, []
     for at in range(1, tokens - BRANCHES + 1, BRANCHES):
         if crowd.isEmpty():
             break
@@ -372,8 +374,11 @@ def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
             crowd = crowd.join(sets.select("sid", "sig"), "sid").withColumn("path", _token(F.col("start"), tokens=tokens))
         found, crowd = _parted(cut(_crowds(branch(crowd, at))), small)
         leaf = leaf.union(found)
+        last.append(crowd.where(BRANCHES * F.col("size") > F.col("was")).select(*MEMBER))
+        crowd = crowd.where(BRANCHES * F.col("size") <= F.col("was")).drop("was")
+    crowd = reduce(DataFrame.union, last, crowd.select(*MEMBER))
     if not crowd.isEmpty():
-        crowd = crowd.select(*MEMBER).distinct().join(sets.select("sid", "_id", "_t"), "sid")
+        crowd = crowd.distinct().join(sets.select("sid", "_id", "_t"), "sid")
         crowd = cut(texts_of(crowd, texts).select(*MEMBER, "text"))
         leaf = leaf.union(cut(_crowds(cut(rare_nodes(crowd, k, percent)))).select(leaf.columns))
     links = cut(links.union(compare_nodes(leaf, texts, sets, k, percent, small)))
