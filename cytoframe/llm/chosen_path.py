@@ -14,8 +14,7 @@ join from the start, so copies are never compared.
    are left out, so their number stays linear).
 4. *Branches.*  The other nodes are crowded.  Each of their members goes to ``BRANCHES`` children, by as many
    further tokens of the tree; these are nodes as in 3., and the crowded ones among them branch again while the
-   tree has tokens and they hold at most 1 / ``BRANCHES`` of their parent, so that no level has more rows to branch
-   than the one before.  Texts around a passage are fewer at each level, while a pair at the threshold has
+   tree has tokens and they hold at most ``KEPT`` of their parent.  Texts around a passage are fewer at each level, while a pair at the threshold has
    1.6 common children a level.
 5. *Crowds.*  All members of the nodes that are crowded and don't branch meet in an exact join: two sets of the
    similarity share one of the n - ceil(0.8 n) + 1 first shingles of each, in any order that is the
@@ -60,6 +59,7 @@ SKETCH_GAP = 28
 SLOTS = 1 << 18
 HEAP = 512
 BRANCHES = 2  # tokens, and so children, of a member of a crowded node
+KEPT = 0.75  # a crowded child with a larger part of its node is near copies, which don't get fewer by branching
 ALIKE = 84  # equal tokens of POSITIONS; expected at similarity 0.8: 102.4, deviation 4.5
 _A = (randoms(POSITIONS, 31) | U(1))[:, None]
 _B = randoms(POSITIONS, 37)[:, None]
@@ -374,8 +374,8 @@ def similar_classes(docs: DataFrame, k: int = 5, percent: int = 80, trees: int =
             crowd = crowd.join(sets.select("sid", "sig"), "sid").withColumn("path", _token(F.col("start"), tokens=tokens))
         found, crowd = _parted(cut(_crowds(branch(crowd, at))), small)
         leaf = leaf.union(found)
-        last.append(crowd.where(BRANCHES * F.col("size") > F.col("was")).select(*MEMBER))
-        crowd = crowd.where(BRANCHES * F.col("size") <= F.col("was")).drop("was")
+        last.append(crowd.where(F.col("size") > KEPT * F.col("was")).select(*MEMBER))
+        crowd = crowd.where(F.col("size") <= KEPT * F.col("was")).drop("was")
     crowd = reduce(DataFrame.union, last, crowd.select(*MEMBER))
     if not crowd.isEmpty():
         crowd = crowd.distinct().join(sets.select("sid", "_id", "_t"), "sid")
