@@ -390,3 +390,30 @@ def test_program_inputs_are_composed_and_written(spark, tmp_path):
     assert len(runs) == 10 and runs.seed.nunique() == 10 and sorted(read("genes").toPandas().var_id) == sorted(inputs.genes)
     with pytest.raises(ValueError, match="batch key"):
         workflows.run_program_preprocess(obs, counts, "absent")
+
+
+def test_core_query_leaves_the_run_at_its_defaults(monkeypatch):
+    import inspect
+
+    from cytoframe.plans import workflows
+    from cytoframe.suite import embedding
+
+    given, run = {}, inspect.signature(workflows.run_core)
+
+    class Stop(Exception):
+        pass
+
+    def record(*args, **kwargs):
+        given.update(run.bind(*args, **kwargs).arguments)
+        raise Stop
+
+    monkeypatch.setattr(workflows, "run_core", record)
+    monkeypatch.setattr(embedding, "cut", lambda df: df)
+    monkeypatch.setattr(embedding, "fine", lambda m: None)
+    monkeypatch.setattr(embedding, "_fine_var", lambda m: None)
+    with pytest.raises(Stop):
+        embedding.core_run(type("Model", (), {"obs": None}))
+    assert set(given) == {"obs", "counts", "var", "batch_keys"}
+    assert given["batch_keys"] == ["batch"]
+    kept = {k: p.default for k, p in run.parameters.items()}
+    assert (kept["n_top"], kept["n_components"], kept["harmony_rounds"], len(kept["resolutions"]), len(kept["seeds"])) == (3000, 50, 20, 6, 5)
