@@ -417,3 +417,52 @@ def test_core_query_leaves_the_run_at_its_defaults(monkeypatch):
     assert given["batch_keys"] == ["batch"]
     kept = {k: p.default for k, p in run.parameters.items()}
     assert (kept["n_top"], kept["n_components"], kept["harmony_rounds"], len(kept["resolutions"]), len(kept["seeds"])) == (3000, 50, 20, 6, 5)
+
+
+def test_rounds_on_blocks_give_the_labels_of_the_joins(spark, monkeypatch):
+    """Several blocks a level, groups of runs, levels that stay in blocks, splits; no join of edges and labels."""
+    rng = np.random.default_rng(8)
+    pairs = {(int(a), int(b)) for a, b in rng.integers(0, 60, (110, 2)) if a != b}
+    pairs |= {(b, a) for a, b in pairs}
+    edges = spark.createDataFrame([(f"n{a}", f"n{b}", 1.0 + (a * b) % 7) for a, b in pairs], "src string, dst string, weight double")
+    jobs = [(0.2, 0), (1.0, 3), (2.0, 0)]
+    rows = lambda x: sorted(map(tuple, x.to_numpy().tolist()))
+    want = rows(graph.communities(edges, jobs, rounds=3).toPandas())
+    for name, value in (("TASK_EDGES", 40), ("BLOCK_EDGES", 15), ("BLOCK_LABELS", 120)):
+        monkeypatch.setattr(graph, name, value)
+    monkeypatch.setattr(graph, "_level", lambda *a: pytest.fail("rounds as joins"))
+    assert rows(graph.communities(edges, jobs, rounds=3).toPandas()) == want
+    monkeypatch.undo()
+    monkeypatch.setattr(graph, "TASK_EDGES", 60)
+    monkeypatch.setattr(graph, "BLOCK_NODES", 0)
+    assert rows(graph.communities(edges, jobs[1:2], rounds=3).toPandas()) == [r for r in want if r[0] == 1.0]
+
+
+def test_screen_keeps_every_row_within_the_limit():
+    rng = np.random.default_rng(3)
+    c, q = rng.normal(size=(700, 9)) + 1000.0, rng.normal(size=(50, 9)) + 1000.0
+    d = np.sqrt(((q[:, None] - c[None]) ** 2).sum(axis=2))
+    limit = np.sort(d, axis=1)[:, 5]
+    limit[0] = np.inf
+    parts = [slice(300, 700), slice(0, 123)]
+    i, j = graph.Screen(c).within(q, limit, parts)
+    got, held = set(zip(i.tolist(), j.tolist(), strict=True)), np.r_[0:123, 300:700]
+    want = {(a, int(b)) for a in range(50) for b in held if d[a, b] <= limit[a]}
+    assert want <= got and len(got) < len(want) + 40
+    flags = rng.random(1003) < 0.02
+    assert (graph._marked(flags) == np.flatnonzero(flags)).all()
+
+
+def test_rounds_of_harmony_pass_over_packed_cells(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    obs = spark.createDataFrame([(i, str(i % 3)) for i in range(300)], "obs_id bigint, batch string")
+    tables, cut = [], embed.cut
+
+    def counted(df):
+        tables.append(cut(df))
+        return tables[-1]
+
+    monkeypatch.setattr(embed, "cut", counted)
+    z, _ = embed.harmony(vectors(spark, rng.normal(size=(300, 3))).repartition(1), obs, ["batch"], max_iter=2)
+    assert tables[0].count() == 300 and all(t.count() < 30 for t in tables[1:]) and len(tables) > 2
+    assert sorted(r.obs_id for r in z.select("obs_id").collect()) == list(range(300))
